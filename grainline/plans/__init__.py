@@ -1 +1,4 @@
 """End-to-end jobs and the registered queries."""
+
+from grainline.plans import queries_cleaning  # noqa: F401
+from grainline.plans.registry import CHECKS, QUERIES  # noqa: F401
