@@ -9,8 +9,9 @@ from grainline.operators import keys, profiling
 from grainline.operators.curation import conversion_rules, table_rules, typed
 from grainline.operators.rules import evaluate, rejects
 from grainline.plans import inputs as i
+from grainline.plans.curate import stage
 from grainline.plans.registry import query
-from grainline.session import load
+from grainline.session import load, scratch
 
 RAW = f"WITH {i.RAW_ORDERS_SQL}"
 
@@ -159,9 +160,9 @@ def reject_rows(spark, folder):
     "SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) AS curated_rows, CAST(0 AS BIGINT) AS lost_rows, true AS preserved FROM orders",
 )
 def row_preservation(spark, folder):
-    raw = i.raw_orders(spark, folder)
-    source = raw.agg(F.count(F.lit(1)).alias("source_rows"), F.lit(1).alias("one"))
-    kept = typed(raw, i.RAW_ORDERS_SPEC).agg(F.count("order_id").alias("curated_rows"), F.lit(1).alias("one"))
+    staged = stage(spark, i.raw_orders(spark, folder), i.RAW_ORDERS_SPEC, scratch(spark, "row-preservation"))
+    source = staged.source.agg(F.count(F.lit(1)).alias("source_rows"), F.lit(1).alias("one"))
+    kept = staged.rows.agg(F.count(F.lit(1)).alias("curated_rows"), F.lit(1).alias("one"))
     lost = F.col("source_rows") - F.col("curated_rows")
     return source.join(kept, "one").select(
         F.lit("orders").alias("table_name"), "source_rows", "curated_rows", lost.alias("lost_rows"), (lost == 0).alias("preserved")
