@@ -1,4 +1,4 @@
 """End-to-end jobs and the registered queries."""
 
-from grainline.plans import queries_cleaning, queries_sources  # noqa: F401
+from grainline.plans import queries_cleaning, queries_keys, queries_rules, queries_sources  # noqa: F401
 from grainline.plans.registry import CHECKS, QUERIES  # noqa: F401
