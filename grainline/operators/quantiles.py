@@ -8,128 +8,134 @@ A span below 2**32 units takes two levels. Nothing is sorted, and only bucket co
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 65_536
+QUARTILES = (0.25, 0.5, 0.75)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: tuple[float, ...] = (0.25, 0.5, 0.75),
-    scale: int = 2,
-    weight: str | None = None,
-) -> DataFrame:
-    """(column_name, probability, value) with linear interpolation between neighbours.
+def _units(name: str, scale: int) -> Column:
+    """The value as a whole number of units of the last decimal."""
+    return (F.col(name).cast(f"decimal(38,{scale})") * 10**scale).cast("bigint")
 
-    Values are exact numbers with at most ``scale`` decimals and 18 digits. ``weight`` names
-    a count column when each row stands for several equal rows. NULLs are left out.
-    """
-    unit = 10**scale
-    cells = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            (F.col(name).cast(f"decimal(38,{scale})") * unit).cast("bigint").alias("v"),
-        )
-        for name in columns
-    ]
-    count = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    values = (
-        df.select(count.alias("w"), F.explode(F.array(*cells)).alias("cell"))
+
+def _long(df: DataFrame, columns: list[str], weight: str | None, value) -> DataFrame:
+    """(w, column_name, v), one row per non-NULL cell."""
+    cells = [F.struct(F.lit(c).alias("column_name"), value(c).alias("v")) for c in columns]
+    w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    return (
+        df.select(w.alias("w"), F.explode(F.array(*cells)).alias("cell"))
         .select("w", "cell.*")
         .where(F.col("v").isNotNull())
     )
-    # One row per column: the only data that reaches the driver.
-    ranges = values.groupBy("column_name").agg(F.min("v"), F.max("v"), F.sum("w")).collect()
-    spark = df.sparkSession
-    wanted, bases, span = [], [], 1
-    for name, low, high, n in ranges:
-        span = max(span, high - low + 1)
-        bases.append((name, low))
+
+
+def _statistics(df: DataFrame, columns: list[str], scale: int, weight: str | None) -> list[Row]:
+    """Count, smallest and largest unit, mean and deviation of each column: one row per column."""
+    values = _long(df, columns, weight, lambda c: _units(c, scale))
+    x = F.col("v").cast("double") / 10**scale
+    w = F.col("w")
+    rows, total = F.sum(w), F.sum(w * x)
+    if weight:
+        deviation = F.sqrt(F.try_divide(F.sum(w * x * x) - total * total / rows, rows - 1))
+    else:
+        deviation = F.stddev_samp(x)
+    return values.groupBy("column_name").agg(
+        rows.alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.try_divide(total, rows).alias("mean"), deviation.alias("std"),
+    ).collect()
+
+
+def _quantiles(
+    df: DataFrame, columns: list[str], stats: list[Row], probabilities: tuple[float, ...], scale: int, weight: str | None
+) -> dict[tuple[str, float], float]:
+    """The quantiles, by narrowing the bucket that holds each wanted rank.
+
+    A level is one pass over the data and returns two rows per column and probability, so
+    what reaches the driver is bounded by the arguments.
+    """
+    lows = {s.column_name: s.low for s in stats}
+    # (column, rank) -> first value of its open bucket, and the rank within that bucket
+    ranks = {}
+    for s in stats:
         for p in probabilities:
-            place = (n - 1) * p
-            floor = int(place)
-            wanted.append((name, float(p), 0, floor, place - floor))
-            wanted.append((name, float(p), 1, min(floor + 1, n - 1), place - floor))
-    if not wanted:
-        return spark.createDataFrame([], "column_name string, probability double, value double")
-    width = 1
-    while width * BUCKETS < span:
-        width *= BUCKETS
-    widths = [width]
-    while widths[-1] > 1:
-        widths.append(widths[-1] // BUCKETS)
-
-    base = spark.createDataFrame(bases, "column_name string, base bigint")
-    targets = spark.createDataFrame(
-        wanted, "column_name string, probability double, side int, rank bigint, fraction double"
-    ).join(F.broadcast(base), "column_name").withColumn("start", F.col("base"))
-
-    for size in widths:
-        # (column, start) names an open bucket: at most two per probability and column, so
-        # both broadcasts below are bounded by the arguments, not by the data.
-        open_buckets = targets.select("column_name", "start").distinct()
-        reach = min(size * BUCKETS, 2**63 - 1)
-        offset = F.col("v") - F.col("start")
-        inside = values.join(F.broadcast(open_buckets), "column_name").where(offset.between(0, reach - 1))
+            floor = int((s.n - 1) * p)
+            for rank in (floor, min(floor + 1, s.n - 1)):
+                ranks[s.column_name, rank] = (0, rank)
+    # measured from the smallest value of the column, so every level starts at 0
+    values = _long(df, list(lows), weight, lambda c: _units(c, scale) - F.lit(lows[c]).cast("bigint"))
+    span = max(s.high - s.low + 1 for s in stats)
+    size = 1
+    while size * BUCKETS < span:
+        size *= BUCKETS
+
+    while size:
+        spark = df.sparkSession
+        targets = spark.createDataFrame(
+            [(c, start, r, rank) for (c, rank), (start, r) in ranks.items()],
+            "column_name string, start bigint, inner_rank bigint, rank bigint",
+        )
+        if any(start for start, _ in ranks.values()):
+            opened = targets.select("column_name", "start").distinct()
+            offset = F.col("v") - F.col("start")
+            inside = values.join(F.broadcast(opened), "column_name").where(offset.between(0, size * BUCKETS - 1))
+        else:
+            inside = values.where(F.col("v") < min(size * BUCKETS, 2**63 - 1)).withColumn("start", F.lit(0).cast("bigint"))
         histogram = inside.groupBy(
             "column_name", "start", F.expr(f"(v - start) div {size}").alias("cell")
         ).agg(F.sum("w").alias("n"))
-        upto = Window.partitionBy("column_name", "start").orderBy("cell").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        ranked = histogram.withColumn("upto", F.sum("n").over(upto))
-        targets = (
-            ranked.join(F.broadcast(targets), ["column_name", "start"])
-            .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-            .select(
-                "column_name",
-                "probability",
-                "side",
-                (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"),
-                "fraction",
-                (F.col("start") + F.col("cell") * size).alias("start"),
-            )
+        # at most BUCKETS rows per column and open bucket reach this window
+        upto = Window.partitionBy("column_name", "start").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+        hits = (
+            histogram.withColumn("upto", F.sum("n").over(upto))
+            .withColumn("before", F.col("upto") - F.col("n"))
+            .join(F.broadcast(targets), ["column_name", "start"])
+            .where((F.col("inner_rank") < F.col("upto")) & (F.col("inner_rank") >= F.col("before")))
+            .select("column_name", "rank", F.col("start") + F.col("cell") * size, F.col("inner_rank") - F.col("before"))
         )
-    low = F.max(F.when(F.col("side") == 0, F.col("start")))
-    high = F.max(F.when(F.col("side") == 1, F.col("start")))
-    return targets.groupBy("column_name", "probability").agg(
-        ((low + (high - low) * F.max("fraction")) / unit).alias("value")
-    )
+        ranks = {(c, rank): (start, inner) for c, rank, start, inner in hits.collect()}
+        size //= BUCKETS
+
+    found = {}
+    for s in stats:
+        for p in probabilities:
+            place = (s.n - 1) * p
+            floor = int(place)
+            low = ranks[s.column_name, floor][0]
+            high = ranks[s.column_name, min(floor + 1, s.n - 1)][0]
+            found[s.column_name, p] = (s.low + low + (high - low) * (place - floor)) / 10**scale
+    return found
+
+
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = QUARTILES, scale: int = 2, weight: str | None = None
+) -> DataFrame:
+    """(column_name, probability, value) with linear interpolation between neighbours.
+
+    Values are exact numbers with at most ``scale`` decimals and 18 digits. ``weight`` names
+    a count column when each row stands for several equal rows. NULLs are left out, and so is
+    a column without values.
+    """
+    stats = _statistics(df, columns, scale, weight)
+    found = _quantiles(df, columns, stats, probabilities, scale, weight) if stats else {}
+    rows = [(name, float(p), value) for (name, p), value in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, probability double, value double")
 
 
 def describe(df: DataFrame, columns: list[str], scale: int = 2, weight: str | None = None, digits: int = 4) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum of each column."""
-    n = F.col(weight) if weight else F.lit(1)
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns
+    """Count, mean, sample deviation, minimum, quartiles and maximum of each column.
+
+    One pass for the moments and one per histogram level.
+    """
+    stats = _statistics(df, columns, scale, weight)
+    found = _quantiles(df, columns, stats, QUARTILES, scale, weight) if stats else {}
+    unit = 10**scale
+    rows = [
+        (s.column_name, s.n, s.mean, s.std, s.low / unit, *[found[s.column_name, p] for p in QUARTILES], s.high / unit)
+        for s in stats
     ]
-    long = df.select(n.alias("w"), F.explode(F.array(*cells)).alias("c")).select("w", "c.*").where("x is not null")
-    if weight:
-        mean = F.try_divide(F.sum(F.col("x") * F.col("w")), F.sum("w"))
-        square = F.sum(F.col("w") * F.col("x") * F.col("x"))
-        total = F.sum(F.col("x") * F.col("w"))
-        rows = F.sum("w")
-        deviation = F.sqrt(F.try_divide(square - total * total / rows, rows - 1))
-        stats = long.groupBy("column_name").agg(
-            rows.alias("n"), mean.alias("mean"), deviation.alias("std"), F.min("x").alias("min"), F.max("x").alias("max")
-        )
-    else:
-        stats = long.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("x").alias("mean"),
-            F.stddev_samp("x").alias("std"),
-            F.min("x").alias("min"),
-            F.max("x").alias("max"),
-        )
-    q = exact_quantiles(df, columns, (0.25, 0.5, 0.75), scale, weight)
-    wide = q.groupBy("column_name").agg(
-        *[
-            F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
-            for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
-        ]
-    )
-    out = stats.join(F.broadcast(wide), "column_name", "left")
-    rounded = [F.round(c, digits).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
-    return out.select("column_name", F.col("n").alias("count"), *rounded)
+    names = ("mean", "std", "min", "q25", "q50", "q75", "max")
+    schema = "column_name string, count bigint, " + ", ".join(f"{n} double" for n in names)
+    out = df.sparkSession.createDataFrame(rows, schema)
+    return out.select("column_name", "count", *[F.round(n, digits).alias(n) for n in names])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainline.functions.compare import days_between, percent
+from grainline.operators.keys import any_null
 
 
 def trace(start: DataFrame, steps: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -68,12 +69,23 @@ def running_balance(entries: DataFrame, keys: list[str], day: str, entry: str, c
     One window per key would put a hot key's whole history into one task. The running sum
     is therefore split: within (key, day, chunk of entry numbers), plus the chunks before it
     that day, plus the days before. ``entry`` is a whole number, unique within (key, day), so a
-    chunk holds at most ``chunk`` rows and a day of a key one row per chunk.
+    chunk holds at most ``chunk`` rows and a day of a key one row per chunk. Entries without
+    key, day or number have no place in the order and are left out.
     """
     part = "_chunk"
-    rows = entries.withColumn(part, F.floor(F.col(entry) / chunk))
+    in_chunk = Window.partitionBy(*keys, day, part).orderBy(entry)
+    rows = (
+        entries.withColumn(part, F.expr(f"`{entry}` div {chunk}"))
+        # stated up front: the joins below would add these filters to some branches only and
+        # so keep Spark from reusing one shuffle of the entries for all of them
+        .where(~any_null([*keys, day, entry, part]))
+        .withColumn("_within", F.sum("signed_units").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_last", F.lead(entry).over(in_chunk).isNull())
+    )
+    # The last running sum of a chunk is its total. Taking it from the same windowed rows lets
+    # Spark reuse their shuffle instead of computing the entries a second time.
+    totals = rows.where("_last").select(*keys, day, part, F.col("_within").alias("_total"))
     before = (Window.unboundedPreceding, -1)
-    totals = rows.groupBy(*keys, day, part).agg(F.sum("signed_units").alias("_total"))
     in_day = Window.partitionBy(*keys, day).orderBy(part).rowsBetween(*before)
     chunks = totals.withColumn("_earlier_chunks", F.coalesce(F.sum("_total").over(in_day), F.lit(0)))
     days = totals.groupBy(*keys, day).agg(F.sum("_total").alias("_day_total"))
@@ -82,15 +94,10 @@ def running_balance(entries: DataFrame, keys: list[str], day: str, entry: str, c
     offsets = chunks.join(days, [*keys, day]).select(
         *keys, day, part, (F.col("_earlier_chunks") + F.col("_earlier_days")).alias("_offset")
     )
-    within = (
-        Window.partitionBy(*keys, day, part).orderBy(entry)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     return (
-        rows.withColumn("_within", F.sum("signed_units").over(within))
-        .join(offsets, [*keys, day, part])
+        rows.join(offsets, [*keys, day, part])
         .withColumn("balance", F.col("_within") + F.col("_offset"))
-        .drop(part, "_within", "_offset")
+        .drop(part, "_within", "_last", "_offset")
     )
 
 
