@@ -182,7 +182,8 @@ def return_patterns(lines: DataFrame, reason: Column, returned: Column, early_cr
 def hierarchy(children: DataFrame, child: str, parent_ref: str, parents: DataFrame, parent: str, keep: list[str]) -> DataFrame:
     """Each child with the kept columns of its parent; roots keep NULLs."""
     up = parents.select(F.col(parent).alias(parent_ref), *keep)
-    return children.join(up, parent_ref, "left").select(child, parent_ref, *keep)
+    # only the two keys of the child, so a table may be its own parent
+    return children.select(child, parent_ref).join(up, parent_ref, "left").select(child, parent_ref, *keep)
 
 
 def bridge_join(left: DataFrame, left_key: str, bridge: DataFrame, right: DataFrame, right_key: str) -> DataFrame:

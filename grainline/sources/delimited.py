@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,17 +44,28 @@ def scan_csv(spark: SparkSession, path: str, columns: list[str], labels: list[st
     return spark.read.options(**CSV_OPTIONS).schema(text_schema([*columns, *labels])).csv(path)
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path, length, modificationTime) of all files below ``root``; no content is read."""
+def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select("path", "length", "modificationTime")
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     )
 
 
+def _plain(path: Column) -> Column:
+    """One spelling of a local file URI: ``file:///a`` and ``file:/a`` are the same."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """(path, length, modificationTime) of the non-empty files below ``root``; no content is read."""
+    return _listing(spark, root, pattern).select(_plain(F.col("path")).alias("path"), "length", "modificationTime")
+
+
+def all_paths(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """The paths of all files below ``root``, empty ones included. Only names pass the driver, as in any scan."""
+    names = [(p,) for p in _listing(spark, root, pattern).inputFiles()]
+    return spark.createDataFrame(names, "path string").select(_plain(F.col("path")).alias("path"))
+
+
 def open_file(path: str, compression: str | None = "detect"):
     """A byte stream for a file URI, opened inside a task."""
     from pyarrow import fs
@@ -121,12 +132,16 @@ def header_groups(headers: DataFrame) -> dict[str, list[str]]:
     Only file and folder names reach the driver, as they do when Spark lists files itself.
     """
     placed = headers.withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
-    folders = placed.groupBy("folder").agg(F.min("header").alias("low"), F.max("header").alias("high"))
-    same = folders.where("low = high").select(F.col("low").alias("header"), F.col("folder").alias("path"))
-    mixed = placed.join(folders.where("low <> high").select("folder"), "folder", "left_semi").select("header", "path")
     groups: dict[str, list[str]] = {}
-    for header, path in same.unionByName(mixed).collect():
-        groups.setdefault(header, []).append(path)
+    mixed = []
+    for folder, low, high in placed.groupBy("folder").agg(F.min("header"), F.max("header")).collect():
+        if low == high:
+            groups.setdefault(low, []).append(folder)
+        else:
+            mixed.append(folder)
+    if mixed:
+        for header, path in placed.where(F.col("folder").isin(mixed)).select("header", "path").collect():
+            groups.setdefault(header, []).append(path)
     return groups
 
 

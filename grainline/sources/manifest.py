@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainline.sources.delimited import list_files, open_file
+from grainline.sources.delimited import all_paths, list_files, open_file
 
 
 def _md5(path: str) -> str:
@@ -50,7 +50,11 @@ def file_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFra
     """
     files = list_files(spark, root, pattern).select("path", F.col("length").alias("size_bytes"))
     hashed = files.mapInPandas(_digests, "path string, size_bytes bigint, md5 string")
-    return hashed.select("*", *path_labels(F.col("path")))
+    # a scan plans no task for an empty file; those are found by name
+    empty = all_paths(spark, root, pattern).join(files, "path", "left_anti").select(
+        "path", F.lit(0).cast("bigint").alias("size_bytes"), F.md5(F.lit("")).alias("md5")
+    )
+    return hashed.unionByName(empty).select("*", *path_labels(F.col("path")))
 
 
 def transfer_decisions(new: DataFrame, prior: DataFrame, key: str = "path", force: bool = False) -> DataFrame:
