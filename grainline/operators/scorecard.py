@@ -23,6 +23,20 @@ def scorecard(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def side_by_side(frames: list[DataFrame]) -> DataFrame:
+    """One-row frames with different columns as one row, by union and maximum rather than by join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
+def preserved_rows(source: DataFrame, curated: DataFrame) -> DataFrame:
+    """Rows before and after, and their difference; any difference is a loss or a duplication."""
+    counts = side_by_side([
+        source.agg(F.count(F.lit(1)).alias("source_rows")), curated.agg(F.count(F.lit(1)).alias("curated_rows"))
+    ])
+    return counts.withColumn("lost_rows", F.col("source_rows") - F.col("curated_rows"))
+
+
 def as_rule(
     metrics: DataFrame, table: str, rule_id: str | Column, category: str, violations: Column, total: Column,
     on_breach: str = "FAIL", limit_pct: float = 0.0, within_limit: str = "WARN",

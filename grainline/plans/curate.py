@@ -18,7 +18,7 @@ from grainline.operators.curation import conversion_rules, convert, table_rules
 from grainline.operators.keys import key_profile
 from grainline.operators.references import reference_check
 from grainline.operators.rules import Rule, broken_ids, evaluate_tagged
-from grainline.operators.scorecard import as_rule, scorecard
+from grainline.operators.scorecard import as_rule, preserved_rows, scorecard
 from grainline.session import scratch
 from grainline.sinks import ledger
 from grainline.sinks.parquet import by_partition, write_partitioned, write_rejects, write_table
@@ -57,16 +57,13 @@ def stage(spark: SparkSession, raw: DataFrame, spec: TableSpec, folder: str) ->
 def gate(staged: Staged) -> DataFrame:
     """All rule results of one staged table: row rules, key uniqueness, emptiness, row preservation."""
     spec, rows = staged.spec, staged.rows
-    counts = staged.source.agg(F.count(F.lit(1)).alias("source_rows"))
-    kept = rows.agg(F.count(F.lit(1)).alias("staged_rows"))
-    lost = F.abs(F.col("source_rows") - F.col("staged_rows"))
-    both = counts.withColumn("one", F.lit(1)).join(kept.withColumn("one", F.lit(1)), "one")
+    kept = preserved_rows(staged.source, rows)
     keys = key_profile(rows, list(spec.key))
     parts = [
         evaluate_tagged(rows, staged.rules, spec.name, BROKEN),
         as_rule(keys, spec.name, "key_duplicate", "Grain", F.col("surplus_rows"), F.col("total_rows")),
         as_rule(keys, spec.name, "empty_table", "Grain", (F.col("total_rows") == 0).cast("bigint"), F.lit(1)),
-        as_rule(both, spec.name, "row_preservation", "Grain", lost, F.col("source_rows")),
+        as_rule(kept, spec.name, "row_preservation", "Grain", F.abs(F.col("lost_rows")), F.col("source_rows")),
     ]
     for alternate in spec.alternate_keys:
         profile = key_profile(rows, list(alternate))

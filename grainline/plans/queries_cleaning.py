@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grainline.functions import cleaning as c
-from grainline.operators import keys, profiling
+from grainline.operators import keys, profiling, scorecard
 from grainline.operators.curation import conversion_rules, table_rules, typed
 from grainline.operators.rules import evaluate, rejects
 from grainline.plans import inputs as i
@@ -161,12 +161,8 @@ def reject_rows(spark, folder):
 )
 def row_preservation(spark, folder):
     staged = stage(spark, i.raw_orders(spark, folder), i.RAW_ORDERS_SPEC, scratch(spark, "row-preservation"))
-    source = staged.source.agg(F.count(F.lit(1)).alias("source_rows"), F.lit(1).alias("one"))
-    kept = staged.rows.agg(F.count(F.lit(1)).alias("curated_rows"), F.lit(1).alias("one"))
-    lost = F.col("source_rows") - F.col("curated_rows")
-    return source.join(kept, "one").select(
-        F.lit("orders").alias("table_name"), "source_rows", "curated_rows", lost.alias("lost_rows"), (lost == 0).alias("preserved")
-    )
+    kept = scorecard.preserved_rows(staged.source, staged.rows)
+    return kept.select(F.lit("orders").alias("table_name"), "*", (F.col("lost_rows") == 0).alias("preserved"))
 
 
 @query(

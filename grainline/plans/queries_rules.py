@@ -364,18 +364,17 @@ READY, NOT_READY = "READY FOR DIMENSIONAL MODELING (Accumulating Snapshot Fact)"
 )
 def readiness_verdict(spark, folder):
     orders = load(spark, folder, "orders")
-    grain = keys.key_profile(orders, ["o_orderkey"]).select("is_key", F.lit(1).alias("one"))
+    grain = keys.key_profile(orders, ["o_orderkey"]).select("is_key")
     facts = orders.agg(
         F.count_if(F.col("o_custkey").isNull() | F.col("o_orderdate").isNull()).alias("nulls"),
         F.count_if(F.col("o_totalprice") <= 0).alias("bad"),
-        F.lit(1).alias("one"),
     )
     checks = {
         "grain confirmed": F.col("is_key"),
         "critical columns complete": F.col("nulls") == 0,
         "amounts positive": F.col("bad") == 0,
     }
-    return scorecard.readiness(grain.join(facts, "one"), checks, READY, NOT_READY)
+    return scorecard.readiness(scorecard.side_by_side([grain, facts]), checks, READY, NOT_READY)
 
 
 # The row counts of the given tables at scale 0.01; tables that grow otherwise have none.
