@@ -77,21 +77,17 @@ def date_text(c: Column, min_length: int = 1) -> Column:
 def to_date(c: Column, formats: tuple[str, ...] = TWO_FORMATS, min_length: int = 1) -> Column:
     """Date from text in any of the layouts of yyyy, MM and dd.
 
-    The separators of a layout sit at fixed places, so at most one layout fits a value. Its
-    parts are put in ISO order and cast, which costs a failing value no exception in the JVM.
+    Each layout is rewritten to the ISO one, then one strict match feeds one cast. A value
+    that fits no layout costs no exception in the JVM, and the text is evaluated only once.
     """
-    t = date_text(c, min_length)
-    parsed = None
+    iso = date_text(c, min_length)
     for layout in formats:
-        fits = F.length(t) == len(layout)
-        for at, mark in enumerate(layout, start=1):
-            if not mark.isalpha():
-                fits = fits & (F.substring(t, at, 1) == mark)
-        year, month, day = (F.substring(t, layout.index(p) + 1, len(p)) for p in ("yyyy", "MM", "dd"))
-        iso = t if layout == ISO else F.concat_ws("-", year, month, day)
-        value = F.when(year != "0000", iso.try_cast("date"))
-        parsed = F.when(fits, value) if parsed is None else parsed.when(fits, value)
-    return parsed
+        if layout != ISO:
+            order = sorted((layout.index(p), p) for p in ("yyyy", "MM", "dd"))
+            place = {p: n for n, (_, p) in enumerate(order, start=1)}
+            shape = layout.replace("yyyy", "([0-9]{4})").replace("MM", "([0-9]{2})").replace("dd", "([0-9]{2})")
+            iso = F.regexp_replace(iso, f"^{shape}$", f"${place['yyyy']}-${place['MM']}-${place['dd']}")
+    return F.regexp_extract(iso, "^((?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2})$", 1).try_cast("date")
 
 
 def to_flag(c: Column, encodings: tuple[str, ...] = tuple(FLAG_WORDS)) -> Column:

@@ -83,7 +83,13 @@ def tagged(df: DataFrame, rules: list[Rule], column: str = "broken_rules") -> Da
 
 
 def broken_ids(rules: list[Rule]) -> Column:
-    return F.array_compact(F.array(*[F.when(r.broken, F.lit(r.rule_id)) for r in rules]))
+    """The array of broken rule ids.
+
+    ``array_except`` drops the NULLs inside generated code; ``array_compact`` is a lambda, for
+    which Spark would interpret every rule.
+    """
+    ids = F.array(*[F.when(r.broken, F.lit(r.rule_id)) for r in rules])
+    return F.array_except(ids, F.array(F.lit(None).cast("string")))
 
 
 def evaluate_tagged(df: DataFrame, rules: list[Rule], table: str = "", column: str = "broken_rules") -> DataFrame:
@@ -101,10 +107,12 @@ def evaluate_tagged(df: DataFrame, rules: list[Rule], table: str = "", column: s
 def rejects(df: DataFrame, rules: list[Rule], keep: list[str] | None = None) -> DataFrame:
     """One row per (offending row, broken rule). Row-local: no shuffle.
 
-    The array is exploded as an expression, not as a column: for a column the optimizer adds
-    a filter on its size and evaluates every rule twice.
+    The outer form of explode matters: for the plain form the optimizer adds a filter on the
+    size of the array below it, and with it a second evaluation of every rule.
     """
-    return df.select(F.explode(broken_ids(rules)).alias("rule_id"), *(keep or df.columns))
+    columns = keep or df.columns
+    rows = df.select(*columns, broken_ids(rules).alias("_broken"))
+    return rows.select(F.explode_outer("_broken").alias("rule_id"), *columns).where(F.col("rule_id").isNotNull())
 
 
 def reject_sample(df: DataFrame, rule: Rule, order: list[str], limit: int = 500) -> DataFrame:

@@ -21,7 +21,7 @@ from grainline.operators.rules import Rule, broken_ids, evaluate_tagged
 from grainline.operators.scorecard import as_rule, preserved_rows, scorecard
 from grainline.session import scratch
 from grainline.sinks import ledger
-from grainline.sinks.parquet import by_partition, write_partitioned, write_rejects, write_table
+from grainline.sinks.parquet import MAX_RECORDS_PER_FILE, by_partition, write_partitioned, write_rejects, write_table
 from grainline.sinks.reports import quality_report, write_json
 from grainline.sources.delimited import read_raw
 from grainline.spec import TableSpec
@@ -91,17 +91,18 @@ def reference_results(staged: list[Staged]) -> list[DataFrame]:
     return found
 
 
-def publish(staged: Staged, target: str) -> None:
+def publish(staged: Staged, target: str, max_records: int = MAX_RECORDS_PER_FILE) -> None:
     """Replace the table, or for a partitioned table only the partitions of this run."""
     clean = staged.rows.drop(BROKEN)
     if staged.spec.partitions:
-        write_partitioned(clean, target, list(staged.spec.partitions))
+        write_partitioned(clean, target, list(staged.spec.partitions), max_records)
     else:
-        write_table(clean, target)
+        write_table(clean, target, max_records)
 
 
 def curate(
-    spark: SparkSession, specs: list[TableSpec], sources: dict[str, str], target: str, run_id: str
+    spark: SparkSession, specs: list[TableSpec], sources: dict[str, str], target: str, run_id: str,
+    max_records: int = MAX_RECORDS_PER_FILE,
 ) -> DataFrame:
     """Run the tables in the given order and return their rule results.
 
@@ -128,7 +129,7 @@ def curate(
             raise GateFailure(f"run {run_id}: {len(failed)} failed rules: {', '.join(sorted(failed))}")
         totals = {r.table_name: r.total for r in results.where("rule_id = 'key_duplicate'").collect()}
         for s in staged:
-            publish(s, f"{target}/tables/{s.spec.name}")
+            publish(s, f"{target}/tables/{s.spec.name}", max_records)
     except Exception as problem:
         detail = f"{type(problem).__name__}: {problem}"[:2000]
         ledger.append(spark, book, [(run_id, s.name, ledger.FAILED, None, now(), detail) for s in specs])

@@ -17,6 +17,8 @@ def local_session(app: str = "grainline", cores: str = "8", shuffle: str = "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # HotSpot never compiles a method above 8,000 bytes; Spark then plans such a stage in smaller pieces
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 

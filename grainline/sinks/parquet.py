@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_RECORDS_PER_FILE = 100_000
+# 100,000 suits tables of a few million rows; it would cut terabytes into millions of small files.
+MAX_RECORDS_PER_FILE = 2_000_000
 
 
 def by_partition(df: DataFrame, columns: list[str]) -> DataFrame:
