@@ -22,7 +22,7 @@ HEADLINE = (
     "validation_scorecard", "column_profile", "numeric_describe", "line_price_describe", "lag_stats", "crosstab_margins",
     "inconsistent_headers", "exactly_one_flag", "batch_trace", "order_lifecycle", "stock_balance", "plan_vs_actual",
     "routing_share", "demand_vs_actual", "bridge_join", "schema_drift_union", "dynamic_partition_overwrite", "manifest_diff",
-    "run_ledger_latest",
+    "run_ledger_latest", "curated_publication",
 )
 
 

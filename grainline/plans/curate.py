@@ -95,7 +95,8 @@ def publish(staged: Staged, target: str, max_records: int = MAX_RECORDS_PER_FILE
     """Replace the table, or for a partitioned table only the partitions of this run."""
     clean = staged.rows.drop(BROKEN)
     if staged.spec.partitions:
-        write_partitioned(clean, target, list(staged.spec.partitions), max_records)
+        # staging has brought the rows of a partition together already
+        write_partitioned(clean, target, list(staged.spec.partitions), max_records, clustered=True)
     else:
         write_table(clean, target, max_records)
 

@@ -12,6 +12,7 @@ from grainline.operators import profiling
 from grainline.operators.curation import conversion_rules, table_rules
 from grainline.operators.rules import evaluate
 from grainline.plans import inputs as i
+from grainline.plans.curate import curate, read_curated
 from grainline.plans.queries_cleaning import CONVERSION_SQL, RAW, TABLE_SQL, rule_sql
 from grainline.plans.registry import query
 from grainline.session import load, scratch
@@ -126,6 +127,19 @@ def schema_drift_union(spark, folder):
     return delimited.read_raw(spark, _drifting_exports(spark, folder), EXPORT_SPEC)
 
 
+@query(
+    "curated_publication",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CAST(o_custkey AS INTEGER) AS customer_key, o_orderstatus AS status, o_totalprice AS total_price,
+    CAST(o_orderdate AS DATE) AS order_date, CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS priority,
+    CASE WHEN year(o_orderdate) > 2000 THEN 'ch- ' || o_orderstatus END AS channel, strftime(o_orderdate, '%Y') AS year FROM orders""",
+)
+def curated_publication(spark, folder):
+    """The whole job: drifting CSV exports are read, staged, gated, published and read back."""
+    target = scratch(spark, "curated")
+    curate(spark, [EXPORT_SPEC], {EXPORT_SPEC.name: _drifting_exports(spark, folder)}, target, "run-1")
+    return read_curated(spark, target, EXPORT_SPEC).withColumn("total_price", F.col("total_price").cast("double"))
+
+
 @query(
     "schema_diff",
     """WITH y AS (SELECT DISTINCT strftime(o_orderdate, '%Y') AS year FROM orders)

@@ -19,12 +19,16 @@ def by_partition(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partitions: list[str], max_records: int = MAX_RECORDS_PER_FILE
+    df: DataFrame, path: str, partitions: list[str], max_records: int = MAX_RECORDS_PER_FILE, clustered: bool = False
 ) -> None:
-    """Replace only the partitions present in ``df``. The mode is set for this write, not the session."""
+    """Replace only the partitions present in ``df``. The mode is set for this write, not the session.
+
+    ``clustered`` says that the files ``df`` is read from already hold few partitions each, so
+    that another shuffle would gain nothing.
+    """
+    rows = df if clustered else by_partition(df, partitions)
     (
-        by_partition(df, partitions)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .partitionBy(*partitions)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,35 +64,47 @@ def all_paths(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return spark.createDataFrame(names, "path string").select(_plain(F.col("path")).alias("path"))
 
 
-def open_file(path: str, compression: str | None = "detect"):
-    """A byte stream for a file URI, opened inside a task."""
-    from pyarrow import fs
+def file_opener():
+    """A function that opens a byte stream for a file URI inside a task.
+
+    It is made here, not at module level, so that it travels to the executors by value:
+    they need pyarrow, not this package.
+    """
+
+    def open_file(path, compression="detect"):
+        from pyarrow import fs
+
+        local = path.startswith("file:/") and not path.startswith("file://")
+        system, inner = fs.FileSystem.from_uri("file://" + path[len("file:"):] if local else path)
+        return system.open_input_stream(inner, compression=compression)
+
+    return open_file
 
-    uri = "file://" + path[len("file:"):] if path.startswith("file:/") and not path.startswith("file://") else path
-    system, inner = fs.FileSystem.from_uri(uri)
-    return system.open_input_stream(inner, compression=compression)
 
+def _header_reader():
+    open_file = file_opener()
 
-def _first_line(path: str) -> str:
-    with open_file(path) as stream:
-        line = b""
-        while b"\n" not in line:
-            more = stream.read(16_384)
-            if not more:
-                break
-            line += more
-    return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+    def first_line(path):
+        with open_file(path) as stream:
+            line = b""
+            while b"\n" not in line:
+                more = stream.read(16_384)
+                if not more:
+                    break
+                line += more
+        return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
 
+    def read(batches):
+        for batch in batches:
+            yield batch.assign(header=[first_line(p) for p in batch["path"]])
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"path": batch["path"], "header": [_first_line(p) for p in batch["path"]]})
+    return read
 
 
 def file_headers(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
     """(path, header) per file. A task reads the first line of its files, not their rows."""
     files = list_files(spark, root, pattern).where(F.col("length") > 0).select("path")
-    return files.mapInPandas(_first_lines, "path string, header string")
+    return files.mapInPandas(_header_reader(), "path string, header string")
 
 
 def schema_differences(headers: DataFrame, expected: list[str]) -> DataFrame:

@@ -3,26 +3,28 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainline.sources.delimited import all_paths, list_files, open_file
+from grainline.sources.delimited import all_paths, file_opener, list_files
 
 
-def _md5(path: str) -> str:
-    digest = hashlib.md5()
-    with open_file(path, compression=None) as stream:
-        while chunk := stream.read(1 << 20):
-            digest.update(chunk)
-    return digest.hexdigest()
+def _hasher():
+    open_file = file_opener()
 
+    def md5(path):
+        digest = hashlib.md5()
+        with open_file(path, compression=None) as stream:
+            while chunk := stream.read(1 << 20):
+                digest.update(chunk)
+        return digest.hexdigest()
 
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(md5=[_md5(p) for p in batch["path"]])
+    def read(batches):
+        for batch in batches:
+            yield batch.assign(md5=[md5(p) for p in batch["path"]])
+
+    return read
 
 
 def path_labels(path: Column) -> list[Column]:
@@ -49,7 +51,7 @@ def file_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFra
     be larger than memory or than the 2 GB a binary column holds.
     """
     files = list_files(spark, root, pattern).select("path", F.col("length").alias("size_bytes"))
-    hashed = files.mapInPandas(_digests, "path string, size_bytes bigint, md5 string")
+    hashed = files.mapInPandas(_hasher(), "path string, size_bytes bigint, md5 string")
     # a scan plans no task for an empty file; those are found by name
     empty = all_paths(spark, root, pattern).join(files, "path", "left_anti").select(
         "path", F.lit(0).cast("bigint").alias("size_bytes"), F.md5(F.lit("")).alias("md5")

@@ -1,9 +1,12 @@
 import hashlib
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 from conftest import one, rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from grainline.operators.rules import Rule, evaluate
@@ -102,6 +105,18 @@ def test_manifest_against_plain_md5(spark, tmp_path):
     assert tuple(got["c.csv"][3:7]) == ("dimension", "customers", None, None)
 
 
+def test_task_functions_need_no_package_on_the_executors(tmp_path):
+    """A worker started elsewhere can load and run them: they travel by value."""
+    file = put(str(tmp_path), "a.csv", "id,name\n1,x\n")
+    run = "import pickle, sys, pandas as pd; f = pickle.load(open(sys.argv[1], 'rb'))\nassert 'grainline' not in sys.modules\n" \
+          "print(list(f([pd.DataFrame({'path': ['file:' + sys.argv[2]]})]))[0].iloc[0, 1])"
+    for made, expected in ((delimited._header_reader(), "id,name"), (manifest._hasher(), hashlib.md5(b"id,name\n1,x\n").hexdigest())):
+        pickled = tmp_path / "f.pickle"
+        pickled.write_bytes(cloudpickle.dumps(made))
+        done = subprocess.run([sys.executable, "-c", run, str(pickled), file], cwd="/", capture_output=True, text=True, timeout=120)
+        assert done.stdout.strip() == expected, done.stderr
+
+
 def test_transfer_decisions(spark):
     new = spark.createDataFrame([(p, "m", 1) for p in "abcd"], "path string, md5 string, size_bytes bigint")
     prior = spark.createDataFrame([("b", "m-2"), ("c", "m"), ("d", "other")], "path string, etag string")
