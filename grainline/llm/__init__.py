@@ -1,10 +1,10 @@
 """Training-data operators: formatting, deduplication, classification, mixing and decontamination.
 
-The helpers that run inside tasks travel by value, so executors need numpy and pyarrow but not this package.
+What runs inside tasks travels by value, so executors need numpy, pyarrow and xxhash but not this package.
 """
 
-from pyspark import cloudpickle
+import sys
 
-from grainline.llm import tokens
+from pyspark import cloudpickle
 
-cloudpickle.register_pickle_by_value(tokens)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainline.llm import tokens
-from grainline.llm.common import settle, text_key, whole
+from grainline.llm.common import count_words, settle, text_key, whole
 
 SEED = 4
 THRESHOLD = 0.5
@@ -21,43 +21,38 @@ THRESHOLD = 0.5
 BROADCAST_WORDS = 2_000_000
 
 
-def _tiler():
-    """A function of (item hashes, text hashes, shortest run) to tiles, made here so that it travels by value."""
-
-    def tile(item, text, shortest):
-        """Tiles (length, item start, text start), longest first; ties go to the smaller starts."""
-        shortest = min(shortest, len(item))
-        if not shortest:
-            return []
-        free_item, free_text = np.ones(len(item), bool), np.ones(len(text), bool)
-        same = {}
-        start, total = tokens.windows(item, np.zeros(len(item), np.int8), shortest)
-        for p, h in zip(start.tolist(), total.tolist()):
-            same.setdefault(h, []).append(p)
-        where, hashed = tokens.windows(text, np.zeros(len(text), np.int8), shortest)
-        seeds = np.flatnonzero(np.isin(hashed, total))
-        pairs = [(p, int(where[k])) for k in seeds for p in same[int(hashed[k])]]
-        found = []
-        while True:
-            runs, reached = [], {}
-            for p, t in pairs:
-                if reached.get(t - p, -1) > t or not (free_item[p] and free_text[t]):
-                    continue
-                most = min(len(item) - p, len(text) - t)
-                good = (item[p : p + most] == text[t : t + most]) & free_item[p : p + most] & free_text[t : t + most]
-                n = most if good.all() else int(good.argmin())
-                reached[t - p] = t + n
-                if n >= shortest:
-                    runs.append((-n, p, t))
-            if not runs:
-                return found
-            for n, p, t in sorted(runs):
-                n = -n
-                if free_item[p : p + n].all() and free_text[t : t + n].all():
-                    free_item[p : p + n] = free_text[t : t + n] = False
-                    found.append((n, p, t))
-
-    return tile
+def tile(item, text, shortest):
+    """Tiles (length, item start, text start), longest first; ties go to the smaller starts."""
+    shortest = min(shortest, len(item))
+    if not shortest:
+        return []
+    free_item, free_text = np.ones(len(item), bool), np.ones(len(text), bool)
+    same = {}
+    start, total = tokens.windows(item, np.zeros(len(item), np.int8), shortest)
+    for p, h in zip(start.tolist(), total.tolist()):
+        same.setdefault(h, []).append(p)
+    where, hashed = tokens.windows(text, np.zeros(len(text), np.int8), shortest)
+    seeds = np.flatnonzero(np.isin(hashed, total))
+    pairs = [(p, int(where[k])) for k in seeds for p in same[int(hashed[k])]]
+    found = []
+    while True:
+        runs, reached = [], {}
+        for p, t in pairs:
+            if reached.get(t - p, -1) > t or not (free_item[p] and free_text[t]):
+                continue
+            most = min(len(item) - p, len(text) - t)
+            good = (item[p : p + most] == text[t : t + most]) & free_item[p : p + most] & free_text[t : t + most]
+            n = most if good.all() else int(good.argmin())
+            reached[t - p] = t + n
+            if n >= shortest:
+                runs.append((-n, p, t))
+        if not runs:
+            return found
+        for n, p, t in sorted(runs):
+            n = -n
+            if free_item[p : p + n].all() and free_text[t : t + n].all():
+                free_item[p : p + n] = free_text[t : t + n] = False
+                found.append((n, p, t))
 
 
 def _words(texts):
@@ -82,8 +77,7 @@ def _known(items, shortest):
 
 
 def _coverage_of_all(known, shortest):
-    ids, items, seeds, owner, lengths = known.value if hasattr(known, "value") else known
-    tile = _tiler()
+    ids, items, seeds, owner, lengths = known
 
     def run(batches):
         for batch in batches:
@@ -106,8 +100,8 @@ def _coverage_of_all(known, shortest):
     return run
 
 
-def _seed_rows(names, shortest):
-    """Rows (ids..., seed) of every distinct run of ``shortest`` words of a text; a shorter text is one run."""
+def _seed_rows(names, lengths):
+    """Rows (ids..., seed) of every distinct run of the given numbers of words; of an item, only its longest such run."""
 
     def run(batches):
         for batch in batches:
@@ -115,11 +109,10 @@ def _seed_rows(names, shortest):
                 split, _, _ = _words(part.column("text"))
                 rows, seeds = [], []
                 for k, own in enumerate(split):
-                    for size in {min(shortest, len(own))} if names == ["item_id"] else set(range(1, shortest + 1)):
-                        if size:
-                            _, hashed = tokens.windows(own, np.zeros(len(own), np.int8), size)
-                            seeds.append(np.unique(hashed))
-                            rows.append(np.full(len(seeds[-1]), k))
+                    for size in lengths if names != ["item_id"] else [min(lengths[-1], len(own))]:
+                        _, hashed = tokens.windows(own, np.zeros(len(own), np.int8), size)
+                        seeds.append(np.unique(hashed))
+                        rows.append(np.full(len(seeds[-1]), k))
                 at = pa.array(np.concatenate(rows) if rows else np.zeros(0, int))
                 values = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([*(part.column(n).take(at) for n in names), pa.array(values.view(np.int64))], [*names, "seed"])
@@ -128,8 +121,6 @@ def _seed_rows(names, shortest):
 
 
 def _coverage_of_pairs(shortest):
-    tile = _tiler()
-
     def run(batches):
         for batch in batches:
             for part in tokens.slices(batch):
@@ -149,19 +140,17 @@ def coverage(documents: DataFrame, benchmark: DataFrame, shortest: int = SEED, b
     that share an id are items of their own. The benchmark goes to every task only up to ``broadcast_words`` words;
     beyond that, pairs come from a shuffled join of seeds and both texts join them.
     """
-    spark = documents.sparkSession
     kind = dict(documents.dtypes)["doc_id"]
     docs = documents.select("doc_id", whole(F.col("text")).alias("text"), text_key(F.col("text")).alias("text_key"))
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(F.trim(whole(F.col("text"))) != "").distinct()
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(count_words(F.col("text")) > 0).distinct()
     chars = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     result = f"doc_id {kind}, text_key bigint, item_id bigint, coverage double"
     if chars <= 8 * broadcast_words:
         known = _known([(r["item_id"], r["text"]) for r in items.collect()], shortest)
-        known = spark.sparkContext.broadcast(known)
         return docs.mapInArrow(_coverage_of_all(known, shortest), result)
-    items = items.withColumn("item_key", text_key(F.col("text")))
-    seeds = items.mapInArrow(_seed_rows(["item_id"], shortest), "item_id bigint, seed bigint").distinct()
-    shared = docs.mapInArrow(_seed_rows(["doc_id", "text_key"], shortest), f"doc_id {kind}, text_key bigint, seed bigint")
+    lengths = [r[0] for r in items.select(F.least(count_words(F.col("text")), F.lit(shortest)).cast("int")).distinct().collect()]
+    seeds = items.mapInArrow(_seed_rows(["item_id"], [shortest]), "item_id bigint, seed bigint").distinct()
+    shared = docs.mapInArrow(_seed_rows(["doc_id", "text_key"], lengths), f"doc_id {kind}, text_key bigint, seed bigint")
     pairs = settle(shared.join(seeds, "seed").select("doc_id", "text_key", "item_id").distinct(), "tiling-pairs")
     once = docs.dropDuplicates(["doc_id", "text_key"])
     same = pairs["doc_id"].eqNullSafe(once["doc_id"]) & (pairs["text_key"] == once["text_key"])

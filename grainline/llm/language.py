@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-One model per language over the characters of lower-case words with their boundaries: "  word " is scored character by
-character, each from the two before it. Probabilities are interpolated Kneser-Ney and stored per order as one array of
+One model per language over the characters of lower-case words with their boundaries: "   word " is scored character by
+character, each from those before it. Probabilities are interpolated Kneser-Ney and stored per order as one array of
 sorted n-gram hashes with a column per language. The language of the lowest cross-entropy per character wins; its score
 is a softmax whose temperature, and the rejection limit, are calibrated on training documents kept out of the counts.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainline.llm import tokens
-from grainline.llm.common import remainder, settle, whole
+from grainline.llm.common import remainder, settle
 
 ORDER = 4
 # Bound of the fitting sample: documents per language, by hash of the id, about four fifths for counts.
@@ -32,6 +32,15 @@ def _hash(gram):
     return np.uint64(xxhash.xxh3_64_intdigest(gram.encode()))
 
 
+def _found(keys, grams):
+    """(whether each n-gram is in the sorted hashes, its place)."""
+    if not len(grams) or not len(keys):
+        return np.zeros(len(grams), bool), np.zeros(len(grams), np.int64)
+    wanted = np.array([_hash(g) for g in grams], np.uint64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, at
+
+
 def training_rows(documents: DataFrame, modulus: int = 4, held_out: int = 2, bound: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """lang, text, tune of a bounded sample: documents with a language and a text outside the held-out fold.
 
@@ -105,6 +114,12 @@ class KneserNey:
                 p = max(self.grams[k].get(part, 0) - d, 0) / total + d * self.types[k][part[:-1]] / total * p
         return p
 
+    def weight(self, context: str) -> float:
+        """What the next shorter context gets where a character was never seen after this one; 1 after an unseen context."""
+        k = len(context)
+        total = self.context[k].get(context, 0)
+        return self.discount[k] * self.types[k][context] / total if total else 1.0
+
 
 class Model:
     """Sorted hash arrays of all n-grams of each order, with log probabilities per language."""
@@ -119,7 +134,11 @@ class Model:
             keys = np.array([_hash(g) for g in grams], np.uint64)
             values = np.array([[np.log(m.probability(g)) for m in models] for g in grams], np.float32).reshape(len(grams), len(models))
             at = np.argsort(keys)
-            self.levels.append((keys[at], values[at]))
+            contexts = sorted(set().union(*(m.context[k] for m in models)))
+            left = np.array([_hash(c) for c in contexts], np.uint64)
+            weights = np.array([[np.log(m.weight(c)) for m in models] for c in contexts], np.float32).reshape(len(contexts), len(models))
+            by = np.argsort(left)
+            self.levels.append((keys[at], values[at], left[by], weights[by]))
         self.unseen = np.array([np.log(m.floor) for m in models], np.float32)
         self.temperature, self.limit = 1.0, np.full(len(models), np.inf)
 
@@ -131,17 +150,16 @@ class Model:
         table: dict[str, int] = {}
         ids = np.fromiter((table.setdefault(t[k : k + order], len(table)) for t in texts for k in range(len(t) - order + 1)), np.int64, int(sizes.sum()))
         grams = list(table)
-        score = np.tile(self.unseen, (len(grams), 1))
+        score = np.zeros((len(grams), len(self.languages)), np.float32)
         open_ = np.arange(len(grams))
         for k in range(order - 1, -1, -1):
-            keys, values = self.levels[k]
-            if not len(open_) or not len(keys):
-                continue
-            wanted = np.array([_hash(grams[i][order - 1 - k :]) for i in open_], np.uint64)
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            hit = keys[at] == wanted
-            score[open_[hit]] = values[at[hit]]
+            keys, values, contexts, weights = self.levels[k]
+            hit, at = _found(keys, [grams[i][order - 1 - k :] for i in open_])
+            score[open_[hit]] += values[at[hit]]
             open_ = open_[~hit]
+            seen, at = _found(contexts, [grams[i][order - 1 - k : -1] for i in open_])
+            score[open_[seen]] += weights[at[seen]]
+        score[open_] += self.unseen
         ends = np.concatenate(([0], np.cumsum(sizes)))
         return np.add.reduceat(score[ids], ends[:-1], axis=0) if len(ids) else np.zeros((0, len(self.languages))), sizes
 
@@ -202,9 +220,8 @@ def fit(documents: DataFrame, modulus: int = 4, held_out: int = 2, bound: int =
     return calibrate(model, tune.column("text").combine_chunks(), tune.column("lang").to_pylist())
 
 
-def _predict(shared):
+def _predict(model):
     def run(batches):
-        model = shared.value
         names = pa.array([*model.languages, UNKNOWN])
         for batch in batches:
             for part in tokens.slices(batch):
@@ -232,11 +249,5 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         return documents.select(
             "doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")
         )
-    shared = documents.sparkSession.sparkContext.broadcast(model)
     kind = dict(documents.dtypes)["doc_id"]
-    return documents.select("doc_id", "text").mapInArrow(_predict(shared), f"doc_id {kind}, lang_pred string, score double, rejected boolean")
-
-
-def letters(text):
-    """Whether a text has a letter, as a column."""
-    return whole(text).rlike(r"\p{L}")
+    return documents.select("doc_id", "text").mapInArrow(_predict(model), f"doc_id {kind}, lang_pred string, score double, rejected boolean")

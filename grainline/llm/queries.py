@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from grainline.llm import chat, exact_dedup, licenses, mixing
+from pyspark.sql import functions as F
+
+from grainline.llm import chat, decontaminate, exact_dedup, language, licenses, mixing, ngram_join, toxicity
+from grainline.llm.common import remainder
 from grainline.session import load
 
 QUERIES = {}
@@ -55,3 +58,28 @@ def op5_source_mixing(spark, folder):
 @query("op7_license_scan")
 def op7_license_scan(spark, folder):
     return licenses.scan(load(spark, folder, "documents"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark, folder):
+    documents = load(spark, folder, "documents")
+    found = language.identify(documents, language.fit(documents, modulus=4, held_out=2))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, folder):
+    documents = load(spark, folder, "documents")
+    model = toxicity.fit(documents, load(spark, folder, "labels"), modulus=3, held_out=1)
+    found = toxicity.score(documents, model)
+    return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark, folder):
+    return ngram_join.join(load(spark, folder, "documents"), size=3, num=90, den=100)
+
+
+@query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark, folder):
+    return decontaminate.findings(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
