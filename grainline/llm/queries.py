@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from grainline.llm import chat, decontaminate, exact_dedup, language, licenses, mixing, ngram_join, toxicity
+from grainline.llm import backoff, chat, decontaminate, exact_dedup, language, licenses, mixing, ngram_join, substrings, toxicity
 from grainline.llm.common import remainder
 from grainline.session import load
 
@@ -83,3 +83,38 @@ def op9_ngram_jaccard_join(spark, folder):
 @query("op10_benchmark_decontamination")
 def op10_benchmark_decontamination(spark, folder):
     return decontaminate.findings(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+@query(
+    "op2_substring_dedup",
+    r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    x AS (SELECT doc_id, i, CASE WHEN i + 12 <= len(ws) THEN md5(array_to_string(ws[i:i + 12], ' ')) END AS h, ws[i] AS word FROM p),
+    m AS (SELECT h, min(doc_id) AS first_doc FROM x WHERE h IS NOT NULL GROUP BY h),
+    g AS (SELECT x.doc_id, x.i, word, CASE WHEN first_doc < x.doc_id THEN 1 ELSE 0 END AS hit FROM x LEFT JOIN m ON x.h = m.h),
+    c AS (SELECT doc_id, i, word, max(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM g),
+    k AS (SELECT doc_id, count(*) FILTER (WHERE gone = 1) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY doc_id)
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN k ON w.doc_id = k.doc_id""",
+)
+def op2_substring_dedup(spark, folder):
+    found = substrings.remove_repeats(load(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op8_lm_scoring",
+    r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    x AS (SELECT doc_id, i, ws[i] AS word, CASE WHEN i > 1 THEN ws[i - 1] END AS prev FROM p),
+    u AS (SELECT word, count(*) AS n FROM x GROUP BY word), b AS (SELECT prev, word, count(*) AS n FROM x WHERE prev IS NOT NULL GROUP BY 1, 2),
+    s AS (SELECT x.doc_id, CASE WHEN x.prev IS NULL THEN ln(u.n / (SELECT count(*) FROM x)) WHEN b.n >= 2 THEN ln(b.n / v.n)
+      ELSE ln(u.n / (SELECT count(*) FROM x)) + ln(0.4) END AS ls
+      FROM x JOIN u ON u.word = x.word LEFT JOIN u v ON v.word = x.prev LEFT JOIN b ON b.prev = x.prev AND b.word = x.word),
+    t AS (SELECT doc_id, sum(ls) AS ls FROM s GROUP BY doc_id)
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(coalesce(ls, 0), 4) AS log_score, round(ls / len(ws), 6) AS mean_log_score
+    FROM w LEFT JOIN t ON w.doc_id = t.doc_id""",
+)
+def op8_lm_scoring(spark, folder):
+    found = backoff.score(load(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
