@@ -52,48 +52,51 @@ def default_templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TEMPLATES), "license_id string, text string")
 
 
-def _bigrams(text):
-    """Distinct word bigrams of a text in lower case; words are runs of letters, digits and single dots between them."""
-    words = F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.]+|\.(?![\p{N}])|(?<![\p{N}])\.", " "), " +"), lambda w: w != "")
-    return F.when(
-        F.size(words) > 1, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))))
-    ).otherwise(F.array().cast("array<string>"))
+def _plain(text):
+    """Lower case; every run of other characters than letters, digits and line ends is one blank."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def _with_bigrams(units: DataFrame, least: float) -> DataFrame:
+    """Replace the plain text ``part`` by ``grams``, the hashes of its distinct word bigrams, and ``a``, their number."""
+    kept = [c for c in units.columns if c != "part"]
+    # both arrays come out of a generator, as Spark would push a filter on a computed column into the expression and
+    # then split the text again for each of its words
+    split = units.select(*kept, F.explode(F.array(F.split(F.trim("part"), r"[ \n]+"))).alias("words")).where(F.size("words") > F.lit(max(1.0, least)))
+    pairs = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1)))
+    distinct = F.array_distinct(F.slice(pairs, 1, F.size("words") - 1))
+    return split.select(*kept, F.explode(F.array(distinct)).alias("grams")).withColumn("a", F.size("grams"))
 
 
 def matches(documents: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, unit, license_id, dice for each unit that reaches the threshold; unit 0 is the whole text, 1.. its lines."""
-    known = (
-        templates.select("license_id", F.xxhash64(whole(F.col("text"))).alias("template"), _bigrams(whole(F.col("text"))).alias("grams"))
-        .where(F.size("grams") > 0)
-        .dropDuplicates(["license_id", "template"])
-        .select("license_id", "template", F.size("grams").alias("t"), "grams")
-        .select("license_id", "template", "t", F.explode("grams").alias("gram"))
-    )
+    plain = templates.select("license_id", _plain(whole(F.col("text"))).alias("part"))
+    known = _with_bigrams(plain.select("license_id", F.xxhash64("part").alias("template"), "part").distinct(), 1)
+    known = known.select("license_id", "template", F.col("a").alias("t"), F.explode("grams").alias("gram"))
     bounds = known.agg(F.min("t").alias("least"), F.max("t").alias("most"), F.count("*").alias("n")).first()
-    known = known.withColumn("gram", F.xxhash64("gram"))
     least, most = (bounds["least"] or 0) * threshold / (2 - threshold), (bounds["most"] or 0) * (2 - threshold) / threshold
-    text = whole(F.col("text"))
+    text = F.col("plain")
     lines = F.split(text, "\n")
-    # a unit of b bytes holds at most b / 2 words: too short texts need no look, too long ones are looked at by line only
-    units = F.when(
-        (F.size(lines) > 1) & (F.octet_length(text) <= 64 * (most + 1)), F.concat(F.array(text), lines)
-    ).otherwise(F.concat(F.array(F.lit(None).cast("string")), lines))
+    # a text with more blanks than the largest template allows is looked at by line only
+    several = (F.size(lines) > 1) & (F.size(F.split(text, "[ \n]+")) <= 4 * most + 4)
+    units = F.when(several, F.concat(F.array(text), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
+    parts = (
+        documents.select("doc_id", _plain(whole(F.col("text"))).alias("plain"))
+        .select("doc_id", F.posexplode(units).alias("unit", "part"))
+        .select("doc_id", "unit", F.xxhash64("part").alias("key"), "part")
+    )
     rows = (
-        documents.select("doc_id", F.posexplode(units).alias("unit", "part"))
-        .where(F.octet_length("part") > least)
-        .select("doc_id", "unit", F.xxhash64("part").alias("part"), _bigrams(F.col("part")).alias("grams"))
-        .select("doc_id", "unit", "part", F.size("grams").alias("a"), "grams")
+        _with_bigrams(parts, least)
         .where(F.col("a").between(least, most))
-        .select("doc_id", "unit", "part", "a", F.explode("grams").alias("gram"))
-        .withColumn("gram", F.xxhash64("gram"))
+        .select("doc_id", "unit", "key", "a", F.explode("grams").alias("gram"))
     )
     if bounds["n"] <= BROADCAST_BIGRAMS:
         known = F.broadcast(known)
     near = (F.col("a") * (2 - threshold) >= F.col("t") * threshold) & (F.col("t") * (2 - threshold) >= F.col("a") * threshold)
     # distinct bigrams: rows that repeat an id with the same text count once
-    shared = rows.join(known, "gram").where(near).groupBy("doc_id", "unit", "part", "a", "license_id", "template", "t")
+    shared = rows.join(known, "gram").where(near).groupBy("doc_id", "unit", "key", "a", "license_id", "template", "t")
     dice = 2 * F.size(F.collect_set("gram")) / (F.col("a") + F.col("t"))
-    return shared.agg(dice.alias("dice")).where(F.col("dice") >= threshold).select("doc_id", F.col("unit").alias("unit"), "license_id", "dice")
+    return shared.agg(dice.alias("dice")).where(F.col("dice") >= threshold).select("doc_id", "unit", "license_id", "dice")
 
 
 def scan(documents: DataFrame, templates: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
