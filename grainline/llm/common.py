@@ -42,3 +42,21 @@ def text_key(text: Column) -> Column:
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo: the fold of a document. NULL ids count as an empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores as it takes not to be a column of the frame."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def same_text(documents: DataFrame, found: DataFrame) -> Column:
+    """Join condition: rows of ``documents`` that ``found`` names by (id, key)."""
+    return documents["doc_id"].eqNullSafe(found["__id"]) & (text_key(documents["text"]) == found["__key"])
+
+
+def named(rows: DataFrame) -> DataFrame:
+    """(__id, __key) of rows of (doc_id, text_key), each once."""
+    return rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainline.llm import tokens
-from grainline.llm.common import count_words, settle, text_key, whole
+from grainline.llm.common import count_words, named, same_text, settle, text_key, whole
 
 SEED = 4
 THRESHOLD = 0.5
@@ -185,11 +185,5 @@ def findings(documents: DataFrame, benchmark: DataFrame, threshold: float = THRE
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents``, with all their columns, that cover no item up to the threshold."""
-    dirty = (
-        coverage(documents, benchmark)
-        .where(F.col("coverage") >= threshold)
-        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-        .distinct()
-    )
-    same = documents["doc_id"].eqNullSafe(F.col("__id")) & (text_key(documents["text"]) == F.col("__key"))
-    return documents.join(dirty, same, "left_anti")
+    dirty = named(coverage(documents, benchmark).where(F.col("coverage") >= threshold))
+    return documents.join(dirty, same_text(documents, dirty), "left_anti")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainline.llm.common import SPACE_CLASS, settle, text_key, whole
+from grainline.llm.common import SPACE_CLASS, fresh, named, same_text, settle, text_key, whole
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 29_996_224)
@@ -207,13 +207,12 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns, each once."""
     found = settle(classes(documents), "exact-classes")
     kept = found.where("kept").groupBy(*ROW).agg(F.count("*").alias("copies"))
-    rows = documents.withColumn("__key", text_key(F.col("text")))
-    stay = rows.join(
-        kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__stay"), "copies"),
-        rows["doc_id"].eqNullSafe(F.col("__id")) & (rows["__key"] == F.col("__stay")),
-    )
-    once = stay.where("copies = 1").select(*(rows[c] for c in documents.columns))
-    again = stay.where("copies > 1").select(*(rows[c] for c in documents.columns), "__key").dropDuplicates(["doc_id", "__key"])
-    if kept.where("copies > 1").isEmpty():
-        return once
-    return once.unionByName(again.drop("__key"))
+    stay = named(kept)
+    rows = documents.join(stay, same_text(documents, stay), "left_semi")
+    repeated = named(kept.where("copies > 1"))
+    if repeated.isEmpty():
+        return rows
+    key = fresh(documents, "__text_key")
+    again = rows.join(repeated, same_text(rows, repeated), "left_semi").withColumn(key, text_key(F.col("text")))
+    once = rows.join(repeated, same_text(rows, repeated), "left_anti")
+    return once.unionByName(again.dropDuplicates(["doc_id", key]).drop(key))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainline.llm import tokens
+from grainline.llm.batches import planes, unplanes
 from grainline.llm.common import settle, whole
 
 BITS = 4096
@@ -131,15 +132,6 @@ def document_keys(doc, values, sizes, tiles: Tiles, known: dict):
     return np.concatenate(keys), np.concatenate(owner)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """64-bit values with their bytes transposed, which leaves runs that a codec removes."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def unplanes(data: bytes, kind) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
-
-
 def led(keys: np.ndarray, ids: np.ndarray):
     """(key, smallest id) per key, and the edges (key, smallest id, other id)."""
     order = np.lexsort((ids, keys))
@@ -350,4 +342,4 @@ def keep_one(documents: DataFrame, size: int = 5, num: int = 80, den: int = 100)
     """The documents, with all their columns, without those that link to one with a smaller id; rows without id stay."""
     found = join(documents, size, num, den)
     gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return documents.join(gone, documents["doc_id"] == F.col("__id"), "left_anti")
+    return documents.join(gone, documents["doc_id"] == gone["__id"], "left_anti")

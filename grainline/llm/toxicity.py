@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainline.llm import tokens
-from grainline.llm.common import remainder, settle
+from grainline.llm.common import named, remainder, same_text, settle, text_key, whole
 
 # Bound of the fitting sample, in labelled documents.
 SAMPLE = 20_000
@@ -178,7 +178,7 @@ def labelled(documents: DataFrame, labels: DataFrame, modulus: int = 3, held_out
     place = F.pmod(F.xxhash64("__id", F.lit("toxic-sample")), F.lit(1 << 30)) / F.lit(1 << 30)
     chosen = known.where(place * F.lit(float(n)) < bound)
     rows = documents.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id"))
-    return rows.select(F.coalesce("text", F.lit("")).alias("text"), "toxic", F.pmod(F.xxhash64("doc_id", F.lit("toxic-part")), F.lit(5)).cast("int").alias("part"))
+    return rows.select(whole(F.col("text")).alias("text"), "toxic", F.pmod(F.xxhash64("doc_id", F.lit("toxic-part")), F.lit(5)).cast("int").alias("part"))
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, bound: int = SAMPLE) -> Model:
@@ -205,7 +205,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     order within the steps of the calibration. ``predicted`` is 1 from a score of 0.7. Rows with equal texts score the
     same. Without both labels in the sample every score is the share of toxic labels. An empty table gives no rows.
     """
-    rows = documents.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.col("text"))
+    rows = documents.select("doc_id", text_key(F.col("text")).alias("text_key"), F.col("text"))
     if model.trees is None:
         out = rows.select("doc_id", "text_key", F.lit(model.constant).alias("score"))
     else:
@@ -220,7 +220,5 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
 def reject(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, with all their columns, that are not predicted toxic."""
-    found = score(documents, fit(documents, labels)).where("predicted = 1")
-    toxic = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    same = documents["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == F.col("__key"))
-    return documents.join(toxic, same, "left_anti")
+    toxic = named(score(documents, fit(documents, labels)).where("predicted = 1"))
+    return documents.join(toxic, same_text(documents, toxic), "left_anti")
