@@ -29,11 +29,12 @@ def side_by_side(frames: list[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
-def preserved_rows(source: DataFrame, curated: DataFrame) -> DataFrame:
-    """Rows before and after, and their difference; any difference is a loss or a duplication."""
-    counts = side_by_side([
-        source.agg(F.count(F.lit(1)).alias("source_rows")), curated.agg(F.count(F.lit(1)).alias("curated_rows"))
-    ])
+def preserved_rows(expected: DataFrame, curated: DataFrame) -> DataFrame:
+    """Rows before and after, and their difference; any difference is a loss or a duplication.
+
+    ``expected`` is one row with ``source_rows``, counted by other means than the curated rows.
+    """
+    counts = side_by_side([expected.select("source_rows"), curated.agg(F.count(F.lit(1)).alias("curated_rows"))])
     return counts.withColumn("lost_rows", F.col("source_rows") - F.col("curated_rows"))
 
 

@@ -1,13 +1,15 @@
 """Raw exports to published tables: stage all, gate all, then publish.
 
-Per table the raw text is parsed once, into a staged Parquet copy that carries the broken
-rules of each row. Gates, rejects and the publication read that copy, column-pruned. Counts
-therefore come from written data and stay right when a lost executor makes tasks run again,
-which accumulators do not promise.
+Per table the raw text is parsed once, into the folder of this run, with the ids of the rules that
+each row breaks. Gates and rejects read that copy, column-pruned; counts therefore come from
+written data and stay right when a lost executor makes tasks run again, which accumulators do not
+promise. To publish is to append COMMITTED rows for all tables to the ledger, in one file: no row
+is copied or overwritten, and readers follow the ledger, so they see all tables of a run or none.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -15,15 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainline.operators.curation import conversion_rules, convert, table_rules
-from grainline.operators.keys import key_profile
-from grainline.operators.references import reference_check
+from grainline.operators.keys import duplicate_rows, key_profile
+from grainline.operators.references import orphan_rows, reference_check
 from grainline.operators.rules import Rule, broken_ids, evaluate_tagged
 from grainline.operators.scorecard import as_rule, preserved_rows, scorecard
-from grainline.session import scratch
 from grainline.sinks import ledger
-from grainline.sinks.parquet import MAX_RECORDS_PER_FILE, by_partition, write_partitioned, write_rejects, write_table
+from grainline.sinks.parquet import MAX_RECORDS_PER_FILE, by_partition, write_rejects
 from grainline.sinks.reports import quality_report, write_json
-from grainline.sources.delimited import read_raw
+from grainline.sources.delimited import data_lines, file_findings, read_raw
 from grainline.spec import TableSpec
 
 BROKEN = "broken_rules"
@@ -35,29 +36,47 @@ class GateFailure(RuntimeError):
 
 @dataclass(frozen=True)
 class Staged:
+    """A staged table. ``expected`` is one row with source_rows, counted apart from the staged rows."""
+
     spec: TableSpec
-    source: DataFrame
+    expected: DataFrame
     rows: DataFrame
     rules: list[Rule]
-    path: str
 
 
-def stage(spark: SparkSession, raw: DataFrame, spec: TableSpec, folder: str) -> Staged:
+def stage(
+    raw: DataFrame, spec: TableSpec, path: str, expected: DataFrame, max_records: int = MAX_RECORDS_PER_FILE
+) -> Staged:
     """Write the typed rows together with the ids of the rules each one breaks."""
     rules = table_rules(spec) + conversion_rules(spec)
     projected = raw.select(
         *[convert(c, spec).alias(c.name) for c in spec.columns], broken_ids(rules).alias(BROKEN)
     )
-    path = f"{folder}/{spec.name}"
     placed = by_partition(projected, list(spec.partitions)) if spec.partitions else projected
-    placed.write.mode("overwrite").parquet(path)
-    return Staged(spec, raw, spark.read.parquet(path), rules, path)
+    writer = placed.write.option("maxRecordsPerFile", max_records).option("compression", "snappy")
+    if spec.partitions:
+        writer = writer.partitionBy(*spec.partitions)
+    writer.parquet(path)
+    return Staged(spec, expected, raw.sparkSession.read.schema(projected.schema).parquet(path), rules)
+
+
+def file_rules(findings: DataFrame, files: DataFrame, table: str) -> list[DataFrame]:
+    """Rule results on the delivered files. ``files`` has one row per file with content."""
+    wanted = {
+        "empty_file": "FAIL", "missing_label": "FAIL", "missing_column": "WARN", "extra_column": "WARN", "outside_pattern": "WARN",
+    }
+    both = findings.select("path", "finding").distinct().unionByName(
+        files.select(F.col("file").alias("path"), F.lit("file").alias("finding"))
+    )
+    counts = both.agg(*[F.count_if(F.col("finding") == n).alias(n) for n in ("file", *wanted)])
+    total = F.col("file") + F.col("empty_file")
+    return [as_rule(counts, table, f"schema:{n}", "Schema", F.col(n), total, on_breach=b) for n, b in wanted.items()]
 
 
 def gate(staged: Staged) -> DataFrame:
     """All rule results of one staged table: row rules, key uniqueness, emptiness, row preservation."""
     spec, rows = staged.spec, staged.rows
-    kept = preserved_rows(staged.source, rows)
+    kept = preserved_rows(staged.expected, rows)
     keys = key_profile(rows, list(spec.key))
     parts = [
         evaluate_tagged(rows, staged.rules, spec.name, BROKEN),
@@ -91,54 +110,83 @@ def reference_results(staged: list[Staged]) -> list[DataFrame]:
     return found
 
 
-def publish(staged: Staged, target: str, max_records: int = MAX_RECORDS_PER_FILE) -> None:
-    """Replace the table, or for a partitioned table only the partitions of this run."""
-    clean = staged.rows.drop(BROKEN)
-    if staged.spec.partitions:
-        # staging has brought the rows of a partition together already
-        write_partitioned(clean, target, list(staged.spec.partitions), max_records, clustered=True)
-    else:
-        write_table(clean, target, max_records)
+def rejected_rows(s: Staged, parents: dict[str, DataFrame]) -> DataFrame:
+    """All rows that break a row rule, repeat a key or miss a parent, with the rule_id; a row once per rule."""
+    plain = s.rows.drop(BROKEN)
+    bad = s.rows.where(F.size(BROKEN) > 0).withColumn("rule_id", F.explode(BROKEN)).drop(BROKEN)
+    bad = bad.unionByName(duplicate_rows(plain, list(s.spec.key)).withColumn("rule_id", F.lit("key_duplicate")))
+    for r in s.spec.references:
+        if r.parent in parents:
+            lost = orphan_rows(plain, r.column, parents[r.parent], r.parent_column, r.optional)
+            bad = bad.unionByName(lost.withColumn("rule_id", F.lit(f"reference:{r.column}->{r.parent}")))
+    return bad
 
 
 def curate(
     spark: SparkSession, specs: list[TableSpec], sources: dict[str, str], target: str, run_id: str,
-    max_records: int = MAX_RECORDS_PER_FILE,
+    max_records: int = MAX_RECORDS_PER_FILE, pattern: str = "*.csv",
 ) -> DataFrame:
     """Run the tables in the given order and return their rule results.
 
     ``sources`` maps a table to its folder. Below ``target`` the run writes ``tables/``,
-    ``rejects/``, ``reports/`` and ``ledger/``. Readers take the latest COMMITTED state: Parquet
-    folders have no transaction that spans several tables.
+    ``rejects/``, ``reports/``, ``partitions/`` and ``ledger/``. Each attempt has folders of its own.
     """
     book = f"{target}/ledger"
+    attempt = f"{run_id}-{uuid.uuid4().hex[:12]}"
     now = lambda: datetime.now(timezone.utc)
     ledger.append(spark, book, [(run_id, s.name, ledger.STARTED, None, now(), None) for s in specs])
     try:
-        folder = scratch(spark, f"stage-{run_id}")
-        staged = [stage(spark, read_raw(spark, sources[s.name], s), s, folder) for s in specs]
+        staged, checks = [], []
+        for s in specs:
+            lines = data_lines(spark, sources[s.name], pattern)
+            expected = lines.agg(F.coalesce(F.sum("source_rows"), F.lit(0)).alias("source_rows"))
+            raw = read_raw(spark, sources[s.name], s, pattern)
+            staged.append(stage(raw, s, f"{target}/tables/{s.name}/attempt={attempt}", expected, max_records))
+            checks += file_rules(file_findings(spark, sources[s.name], s, pattern), lines, s.name)
         results_path = f"{target}/reports/{run_id}/rules"
-        scorecard([gate(s) for s in staged] + reference_results(staged)).write.mode("overwrite").parquet(results_path)
+        found = [gate(s) for s in staged] + checks + reference_results(staged)
+        scorecard(found).write.mode("overwrite").parquet(results_path)
         results = spark.read.parquet(results_path)
         write_json(quality_report(results, run_id), f"{target}/reports/{run_id}/quality")
+        parents = {s.spec.name: s.rows for s in staged}
         for s in staged:
-            bad = s.rows.where(F.size(BROKEN) > 0).withColumn("rule_id", F.explode(BROKEN)).drop(BROKEN)
-            write_rejects(bad, f"{target}/rejects/{run_id}/{s.spec.name}", ["rule_id", *s.spec.key])
+            write_rejects(rejected_rows(s, parents), f"{target}/rejects/{run_id}/{s.spec.name}", ["rule_id", *s.spec.key])
         # bounded: one row per failed rule of the specification
         failed = [f"{r.table_name}.{r.rule_id}" for r in results.where("status = 'FAIL'").collect()]
         if failed:
             raise GateFailure(f"run {run_id}: {len(failed)} failed rules: {', '.join(sorted(failed))}")
         totals = {r.table_name: r.total for r in results.where("rule_id = 'key_duplicate'").collect()}
         for s in staged:
-            publish(s, f"{target}/tables/{s.spec.name}", max_records)
+            if s.spec.partitions:
+                labels = s.rows.select(*s.spec.partitions).distinct()
+                labels.write.parquet(f"{target}/partitions/{s.spec.name}/attempt={attempt}")
     except Exception as problem:
-        detail = f"{type(problem).__name__}: {problem}"[:2000]
+        detail = f"{type(problem).__name__}: {problem}"
         ledger.append(spark, book, [(run_id, s.name, ledger.FAILED, None, now(), detail) for s in specs])
         raise
-    ledger.append(spark, book, [(run_id, s.name, ledger.COMMITTED, totals[s.name], now(), None) for s in specs])
+    ledger.append(spark, book, [(run_id, s.name, ledger.COMMITTED, totals[s.name], now(), attempt) for s in specs])
     return results
 
 
 def read_curated(spark: SparkSession, target: str, spec: TableSpec) -> DataFrame:
-    """A published table, with partition labels kept as text."""
-    return spark.read.schema(spec.schema).parquet(f"{target}/tables/{spec.name}")
+    """The published rows of a table: for each partition, those of its latest COMMITTED run; labels stay text.
+
+    A table without partitions is replaced as a whole. Before the first commit there are no rows.
+    """
+    done = ledger.read(spark, f"{target}/ledger").where(
+        (F.col("table_name") == spec.name) & (F.col("status") == ledger.COMMITTED)
+    ).select(F.col("detail").alias("attempt"), "logged_at")
+    labels = list(spec.partitions)
+    if not done.isEmpty():
+        stored = spark.read.schema(f"{spec.schema.simpleString()[7:-1].replace(':', ' ')}, attempt string")
+        rows = stored.parquet(f"{target}/tables/{spec.name}")
+        if labels:
+            kinds = ", ".join(f"{n} string" for n in labels)
+            kept = spark.read.schema(f"{kinds}, attempt string").parquet(f"{target}/partitions/{spec.name}")
+            done = kept.join(done, "attempt")
+        latest = done.groupBy(*labels).agg(F.max_by("attempt", "logged_at").alias("_attempt"))
+        same = rows["attempt"] == latest["_attempt"]
+        for n in labels:
+            same = same & rows[n].eqNullSafe(latest[n])
+        return rows.join(latest, same, "left_semi").select(*spec.names)
+    return spark.createDataFrame([], spec.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # 100,000 suits tables of a few million rows; it would cut terabytes into millions of small files.
@@ -48,8 +48,19 @@ def with_period(df: DataFrame, day: str) -> DataFrame:
 
 
 def write_rejects(rejected: DataFrame, path: str, sample_order: list[str] | None = None, sample_rows: int = 500) -> None:
-    """All rejected rows as Parquet by rule, and optionally a bounded CSV sample for people."""
+    """All rejected rows as Parquet by rule, their number per rule as JSON, and optionally a bounded CSV sample for people.
+
+    The sample and the summary read what was written, so the rejects are worked out once.
+    """
     by_partition(rejected, ["rule_id"]).write.mode("overwrite").partitionBy("rule_id").parquet(f"{path}/parquet")
+    written = read_rejects(rejected.sparkSession, path, rejected)
+    written.groupBy("rule_id").agg(F.count(F.lit(1)).alias("rejected_rows")).write.mode("overwrite").json(f"{path}/summary")
     if sample_order:
         # TakeOrderedAndProject: at most sample_rows rows leave the tasks
-        rejected.orderBy(*sample_order).limit(sample_rows).write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+        sample = written.orderBy(*sample_order).limit(sample_rows)
+        sample.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+
+
+def read_rejects(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The rejected rows written by ``write_rejects``, with the columns of ``like``."""
+    return spark.read.schema(like.schema).parquet(f"{path}/parquet").select(*like.columns)

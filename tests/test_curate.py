@@ -123,3 +123,67 @@ def test_orphans_block_the_run(spark, tmp_path):
     }
     with pytest.raises(GateFailure, match="manufacturer_id->manufacturers"):
         curate(spark, specs, sources, target, "r")
+
+
+def test_offending_keys_and_orphans_are_left_as_rejects(spark, tmp_path):
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    specs = [catalog.MANUFACTURERS, catalog.PRODUCT_BATCHES]
+    sources = {
+        "manufacturers": write(raw, specs[0], [ROWS["manufacturers"]]),
+        "product_batches": write(raw, specs[1], [batch(1), batch(1), batch(2, manufacturer_id="MFG9")]),
+    }
+    with pytest.raises(GateFailure):
+        curate(spark, specs, sources, target, "r")
+    bad = spark.read.parquet(f"{target}/rejects/r/product_batches/parquet")
+    assert rows(bad.select("rule_id", "batch_id")) == [
+        ("key_duplicate", "B1"), ("key_duplicate", "B1"), ("reference:manufacturer_id->manufacturers", "B2")
+    ]
+    summary = spark.read.json(f"{target}/rejects/r/product_batches/summary")
+    assert {r["rule_id"]: r["rejected_rows"] for r in summary.collect()}["key_duplicate"] == 2
+
+
+def test_readers_see_all_tables_of_a_run_or_none(spark, tmp_path, monkeypatch):
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    specs = [catalog.MANUFACTURERS, catalog.PRODUCT_BATCHES]
+
+    def deliver(name, value):
+        manufacturer = {**ROWS["manufacturers"], "manufacturer_name": value}
+        return {"manufacturers": write(f"{raw}/{name}", specs[0], [manufacturer]), "product_batches": write(f"{raw}/{name}", specs[1], [batch(1)])}
+
+    curate(spark, specs, deliver("one", "Old"), target, "one")
+    kept = ledger.append
+
+    def broken(session, path, records):
+        if records[0][2] == ledger.COMMITTED:
+            raise OSError("the store is away")
+        kept(session, path, records)
+
+    monkeypatch.setattr(ledger, "append", broken)
+    with pytest.raises(OSError):
+        curate(spark, specs, deliver("two", "New"), target, "two")
+    assert [r.manufacturer_name for r in read_curated(spark, target, specs[0]).collect()] == ["Old"]
+    monkeypatch.setattr(ledger, "append", kept)
+    curate(spark, specs, deliver("two", "New"), target, "two")
+    assert [r.manufacturer_name for r in read_curated(spark, target, specs[0]).collect()] == ["New"]
+    assert read_curated(spark, str(tmp_path / "out"), specs[1]).count() == 1
+
+
+def test_stray_and_empty_files_fail_the_gate(spark, tmp_path):
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    source = write(raw, catalog.PRODUCT_BATCHES, [batch(1)])
+    with open(f"{source}/loose.csv", "w") as f, open(f"{source}/year=2022/part.csv") as given:
+        f.write(given.read().replace("B1", "B2"))
+    open(f"{source}/year=2022/nothing.csv", "w").close()
+    with pytest.raises(GateFailure, match="schema:empty_file.*schema:missing_label"):
+        curate(spark, [catalog.PRODUCT_BATCHES], {"product_batches": source}, target, "r")
+    found = {r.rule_id: r for r in spark.read.parquet(f"{target}/reports/r/rules").collect()}
+    assert found["row_preservation"].status == "PASS" and found["row_preservation"].total == 2
+
+
+def test_new_columns_are_reported(spark, tmp_path):
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    names = [n for n in catalog.PRODUCT_BATCHES.names if n != "year"]
+    source = write(raw, catalog.PRODUCT_BATCHES, [batch(1, extra="x")], names=[*names, "extra"])
+    results = curate(spark, [catalog.PRODUCT_BATCHES], {"product_batches": source}, target, "r")
+    found = {r.rule_id: r.status for r in results.collect()}
+    assert found["schema:extra_column"] == "WARN" and found["schema:missing_column"] == "PASS"

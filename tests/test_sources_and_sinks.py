@@ -60,6 +60,31 @@ def test_missing_and_unexpected_columns_fail(spark, tmp_path):
         delimited.read_raw(spark, str(tmp_path / "b"), DIMENSION)
 
 
+def test_files_outside_the_partition_folders_are_read(spark, tmp_path):
+    root = str(tmp_path)
+    put(root, "a.csv", "ID,Name,QTY,Day\n1,ann,1,2022-01-01\n")
+    put(root, "year=2022/b.csv", "ID,Name,QTY,Day\n2,bob,2,2022-01-02\n")
+    put(root, "year=a%3Ab/c d.csv", "ID,Name,QTY,Day\n3,cy,3,2022-01-03\n\n")
+    put(root, "year=2022/notes.txt", "99,junk\n")
+    put(root, "year=2022/empty.csv", "")
+    df = delimited.read_raw(spark, root, SPEC).select("id", "name", "year")
+    assert rows(df) == [("1", "ann", None), ("2", "bob", "2022"), ("3", "cy", "a:b")]
+    found = delimited.file_findings(spark, root, SPEC).where("finding <> 'missing_column'")
+    name = F.regexp_extract("path", "([^/]+)$", 1).alias("name")
+    assert rows(found.select(name, "finding", "column_name")) == [
+        ("a.csv", "missing_label", "year"), ("empty.csv", "empty_file", None), ("notes.txt", "outside_pattern", None),
+    ]
+    lines = delimited.data_lines(spark, root)
+    assert (lines.count(), lines.agg(F.sum("source_rows")).first()[0]) == (3, 3)
+
+
+def test_a_quoted_comma_in_a_header(spark, tmp_path):
+    put(str(tmp_path), "a.csv", 'id,"a, b"\n1,x\n')
+    spec = TableSpec("t", "fact", ("id",), key("id") + text("a,_b"))
+    assert rows(delimited.read_raw(spark, str(tmp_path), spec)) == [("1", "x")]
+    assert delimited.schema_differences(delimited.file_headers(spark, str(tmp_path)), ["id", "a,_b"]).count() == 0
+
+
 def test_schema_differences(spark, tmp_path):
     root = str(tmp_path)
     put(root, "year=2022/a.csv", 'ID,"Name",QTY,Day\n')
