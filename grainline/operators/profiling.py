@@ -78,10 +78,11 @@ def top_groups(df: DataFrame, columns: list[str], k: int) -> DataFrame:
 
 
 def share_within(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Percent of each value within its group. The window sees one row per (group, value)."""
+    """Percent of each value within its group, whose total is joined: a group of many values stays spread."""
     counted = value_counts(df, [group, value])
-    total = F.sum("row_count").over(Window.partitionBy(group))
-    return counted.withColumn("share_pct", percent(F.col("row_count"), total))
+    total = counted.groupBy(group).agg(F.sum("row_count").alias("_total"))
+    shares = counted.join(total, group)
+    return shares.withColumn("share_pct", percent(F.col("row_count"), F.col("_total"))).drop("_total")
 
 
 def crosstab(df: DataFrame, rows: Column, columns: Column, values: list, names: list[str], row_name: str) -> DataFrame:

@@ -1,141 +1,93 @@
-"""Exact quantiles by repeated histograms.
+"""Exact descriptive statistics and quantiles.
 
-The built-in ``percentile`` merges the counts of all distinct values in one task. Here each
-level groups into at most 65,536 buckets of equal width, finds the bucket that holds the
-wanted rank and looks only inside it at the next level, until a bucket is one value wide.
-A span below 2**32 units takes two levels. Nothing is sorted, and only bucket counts move.
+The rows are grouped once to (column, value, number of rows) and written, sorted by range of column and value. Ranks then
+come from running sums within each range and the totals of the ranges before it, so no task holds all values of a column
+and no value is rounded or scaled. The result is a plan over the written table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 65_536
-QUARTILES = (0.25, 0.5, 0.75)
-
+from grainline.session import scratch
 
-def _units(name: str, scale: int) -> Column:
-    """The value as a whole number of units of the last decimal."""
-    return (F.col(name).cast(f"decimal(38,{scale})") * 10**scale).cast("bigint")
+QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _long(df: DataFrame, columns: list[str], weight: str | None, value) -> DataFrame:
-    """(w, column_name, v), one row per non-NULL cell."""
-    cells = [F.struct(F.lit(c).alias("column_name"), value(c).alias("v")) for c in columns]
+def _counted(df: DataFrame, columns: list[str], weight: str | None) -> DataFrame:
+    """Written rows (column_name, v, n, part): each value of each column once. NULL and NaN are left out."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("v")) for c in columns]
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    return (
-        df.select(w.alias("w"), F.explode(F.array(*cells)).alias("cell"))
-        .select("w", "cell.*")
-        .where(F.col("v").isNotNull())
+    values = df.select(w.alias("w"), F.explode(F.array(*cells)).alias("cell")).select("w", "cell.*").where(F.col("v").isNotNull())
+    ranged = values.groupBy("column_name", "v").agg(F.sum("w").alias("n")).repartitionByRange("column_name", "v")
+    path = scratch(df.sparkSession, "quantiles")
+    # the number of the range is written with the rows: it stays the same however the table is read
+    ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _at_ranks(counted: DataFrame, columns: list[str], probabilities: tuple[float, ...]) -> DataFrame:
+    """column_name, probability, value with linear interpolation between neighbours."""
+    # one row per column and range of the write
+    totals = counted.groupBy("column_name", "part").agg(F.sum("n").alias("held"))
+    before = Window.partitionBy("column_name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("column_name", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"))
+    upto = Window.partitionBy("column_name", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        counted.withColumn("last", F.sum("n").over(upto))
+        .join(offsets, ["column_name", "part"])
+        .select("column_name", "v", (F.col("offset") + F.col("last")).alias("last"), "n")
     )
-
-
-def _statistics(df: DataFrame, columns: list[str], scale: int, weight: str | None) -> list[Row]:
-    """Count, smallest and largest unit, mean and deviation of each column: one row per column."""
-    values = _long(df, columns, weight, lambda c: _units(c, scale))
-    x = F.col("v").cast("double") / 10**scale
-    w = F.col("w")
-    rows, total = F.sum(w), F.sum(w * x)
-    if weight:
-        deviation = F.sqrt(F.try_divide(F.sum(w * x * x) - total * total / rows, rows - 1))
-    else:
-        deviation = F.stddev_samp(x)
-    return values.groupBy("column_name").agg(
-        rows.alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
-        F.try_divide(total, rows).alias("mean"), deviation.alias("std"),
-    ).collect()
-
-
-def _quantiles(
-    df: DataFrame, columns: list[str], stats: list[Row], probabilities: tuple[float, ...], scale: int, weight: str | None
-) -> dict[tuple[str, float], float]:
-    """The quantiles, by narrowing the bucket that holds each wanted rank.
-
-    A level is one pass over the data and returns two rows per column and probability, so
-    what reaches the driver is bounded by the arguments.
-    """
-    lows = {s.column_name: s.low for s in stats}
-    # (column, rank) -> first value of its open bucket, and the rank within that bucket
-    ranks = {}
-    for s in stats:
-        for p in probabilities:
-            floor = int((s.n - 1) * p)
-            for rank in (floor, min(floor + 1, s.n - 1)):
-                ranks[s.column_name, rank] = (0, rank)
-    # measured from the smallest value of the column, so every level starts at 0
-    values = _long(df, list(lows), weight, lambda c: _units(c, scale) - F.lit(lows[c]).cast("bigint"))
-    span = max(s.high - s.low + 1 for s in stats)
-    size = 1
-    while size * BUCKETS < span:
-        size *= BUCKETS
-
-    while size:
-        spark = df.sparkSession
-        targets = spark.createDataFrame(
-            [(c, start, r, rank) for (c, rank), (start, r) in ranks.items()],
-            "column_name string, start bigint, inner_rank bigint, rank bigint",
-        )
-        if any(start for start, _ in ranks.values()):
-            opened = targets.select("column_name", "start").distinct()
-            offset = F.col("v") - F.col("start")
-            inside = values.join(F.broadcast(opened), "column_name").where(offset.between(0, size * BUCKETS - 1))
-        else:
-            inside = values.where(F.col("v") < min(size * BUCKETS, 2**63 - 1)).withColumn("start", F.lit(0).cast("bigint"))
-        histogram = inside.groupBy(
-            "column_name", "start", F.expr(f"(v - start) div {size}").alias("cell")
-        ).agg(F.sum("w").alias("n"))
-        # at most BUCKETS rows per column and open bucket reach this window
-        upto = Window.partitionBy("column_name", "start").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-        hits = (
-            histogram.withColumn("upto", F.sum("n").over(upto))
-            .withColumn("before", F.col("upto") - F.col("n"))
-            .join(F.broadcast(targets), ["column_name", "start"])
-            .where((F.col("inner_rank") < F.col("upto")) & (F.col("inner_rank") >= F.col("before")))
-            .select("column_name", "rank", F.col("start") + F.col("cell") * size, F.col("inner_rank") - F.col("before"))
-        )
-        ranks = {(c, rank): (start, inner) for c, rank, start, inner in hits.collect()}
-        size //= BUCKETS
-
-    found = {}
-    for s in stats:
-        for p in probabilities:
-            place = (s.n - 1) * p
-            floor = int(place)
-            low = ranks[s.column_name, floor][0]
-            high = ranks[s.column_name, min(floor + 1, s.n - 1)][0]
-            found[s.column_name, p] = (s.low + low + (high - low) * (place - floor)) / 10**scale
-    return found
+    # two ranks per column and probability, both fixed by the arguments
+    place = (F.col("rows") - 1) * F.col("probability")
+    wanted = (
+        counted.groupBy("column_name").agg(F.sum("n").alias("rows"))
+        .select("column_name", "rows", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"))
+        .select("column_name", "probability", F.floor(place).alias("low"), F.least(F.floor(place) + 1, F.col("rows") - 1).alias("high"),
+                (place - F.floor(place)).alias("share"))
+        .limit(len(columns) * len(probabilities))
+    )
+    within = lambda rank: (F.col(rank) < F.col("last")) & (F.col(rank) >= F.col("last") - F.col("n"))
+    found = ranked.join(F.broadcast(wanted), "column_name").where(within("low") | within("high"))
+    return found.groupBy("column_name", "probability", "share").agg(
+        F.max(F.when(within("low"), F.col("v"))).alias("a"), F.max(F.when(within("high"), F.col("v"))).alias("b")
+    ).select("column_name", "probability", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = QUARTILES, scale: int = 2, weight: str | None = None
+    df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = QUARTILES, weight: str | None = None
 ) -> DataFrame:
     """(column_name, probability, value) with linear interpolation between neighbours.
 
-    Values are exact numbers with at most ``scale`` decimals and 18 digits. ``weight`` names
-    a count column when each row stands for several equal rows. NULLs are left out, and so is
-    a column without values.
+    ``weight`` names a count column when each row stands for several equal rows. NULL and NaN are left out; a column
+    without values has no row.
     """
-    stats = _statistics(df, columns, scale, weight)
-    found = _quantiles(df, columns, stats, probabilities, scale, weight) if stats else {}
-    rows = [(name, float(p), value) for (name, p), value in found.items()]
-    return df.sparkSession.createDataFrame(rows, "column_name string, probability double, value double")
+    return _at_ranks(_counted(df, columns, weight), columns, probabilities)
 
 
-def describe(df: DataFrame, columns: list[str], scale: int = 2, weight: str | None = None, digits: int = 4) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum of each column.
+def describe(df: DataFrame, columns: list[str], weight: str | None = None, digits: int | None = 4) -> DataFrame:
+    """Count, mean, sample deviation, minimum, quartiles and maximum of each column, one row per column always.
 
-    One pass for the moments and one per histogram level.
+    A column without values has count 0 and NULL otherwise. ``digits`` rounds the result, never the input; None keeps it.
     """
-    stats = _statistics(df, columns, scale, weight)
-    found = _quantiles(df, columns, stats, QUARTILES, scale, weight) if stats else {}
-    unit = 10**scale
-    rows = [
-        (s.column_name, s.n, s.mean, s.std, s.low / unit, *[found[s.column_name, p] for p in QUARTILES], s.high / unit)
-        for s in stats
-    ]
-    names = ("mean", "std", "min", "q25", "q50", "q75", "max")
-    schema = "column_name string, count bigint, " + ", ".join(f"{n} double" for n in names)
-    out = df.sparkSession.createDataFrame(rows, schema)
-    return out.select("column_name", "count", *[F.round(n, digits).alias(n) for n in names])
+    counted = _counted(df, columns, weight)
+    rows, n, v = F.sum("n"), F.col("n"), F.col("v")
+    moments = counted.groupBy("column_name").agg(
+        rows.alias("count"), (F.sum(n * v) / rows).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max")
+    )
+    # deviations from the mean, as differences of large squares would cancel
+    square = F.sum(n * (v - F.col("mean")) * (v - F.col("mean")))
+    spread = (
+        counted.join(F.broadcast(moments.select("column_name", "mean", F.col("count").alias("rows"))), "column_name")
+        .groupBy("column_name", "rows").agg(square.alias("s"))
+        .select("column_name", F.sqrt(F.try_divide(F.col("s"), F.col("rows") - 1)).alias("std"))
+    )
+    quartile = lambda p: F.max(F.when(F.col("probability") == p, F.col("value")))
+    quartiles = _at_ranks(counted, columns, QUARTILES).groupBy("column_name").agg(
+        *[quartile(p).alias(f"q{int(p * 100)}") for p in QUARTILES]
+    )
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    out = names.join(moments, "column_name", "left").join(spread, "column_name", "left").join(quartiles, "column_name", "left")
+    shown = [F.col(c) if digits is None else F.round(c, digits).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
+    return out.select("column_name", F.coalesce("count", F.lit(0)).alias("count"), *shown)

@@ -34,20 +34,34 @@ def reference_check(
     )
 
 
-def reference_checks(tables: dict[str, DataFrame], specs) -> DataFrame:
-    """``reference_check`` for every reference of the given table specifications."""
-    found = [
-        reference_check(
-            tables[s.name], r.column, tables[r.parent], r.parent_column,
-            f"{s.name}.{r.column}->{r.parent}.{r.parent_column}", r.optional,
-        )
-        for s in specs
-        for r in s.references
+def reference_checks(child: DataFrame, edges: list[tuple]) -> DataFrame:
+    """``reference_check`` for several keys of one table, read once.
+
+    ``edges`` holds (name, column, parent, parent column, optional). The keys are unpivoted as text and grouped by
+    (reference, key), the parents likewise, so that one join serves all of them. A table without rows has no result.
+    """
+    cells = [F.struct(F.lit(n).alias("reference"), F.lit(o).alias("_o"), F.col(c).cast("string").alias("_k")) for n, c, _, _, o in edges]
+    per_key = (
+        child.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        .where(~F.col("_o") | F.col("_k").isNotNull())
+        .groupBy("reference", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    known = [
+        p.select(F.lit(n).alias("reference"), F.col(pc).cast("string").alias("_k")).where(F.col("_k").isNotNull()).distinct()
+        for n, _, p, pc, _ in edges
     ]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    parents = known[0]
+    for more in known[1:]:
+        parents = parents.unionByName(more)
+    joined = per_key.join(parents.withColumn("_hit", F.lit(True)), ["reference", "_k"], "left")
+    return joined.groupBy("reference").agg(
+        F.sum("_n").alias("checked_rows"), F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)).alias("_found")
+    ).select(
+        "reference",
+        "checked_rows",
+        (F.col("checked_rows") - F.col("_found")).alias("orphan_rows"),
+        percent(F.col("_found"), F.col("checked_rows")).alias("overlap_pct"),
+    )
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str, optional: bool = False) -> DataFrame:

@@ -32,9 +32,9 @@ def trace(start: DataFrame, steps: list[tuple[DataFrame, str, str, str]]) -> Dat
 
 
 def lifecycle(events: DataFrame, line: str, status: str, day: str, stages: list[str]) -> DataFrame:
-    """One row per line: events, first date per stage and the lag between consecutive stages."""
+    """One row per line: events, first date per stage and the lag between consecutive stages. NULL lines are left out."""
     firsts = [F.min(F.when(F.col(status) == s, F.col(day))).alias(f"first_{s}") for s in stages]
-    lines = events.groupBy(line).agg(F.count(F.lit(1)).alias("event_count"), F.min(day).alias("first_date"),
+    lines = events.where(F.col(line).isNotNull()).groupBy(line).agg(F.count(F.lit(1)).alias("event_count"), F.min(day).alias("first_date"),
                                      F.max(day).alias("last_date"), *firsts)
     lags = [
         days_between(F.col(f"first_{a}"), F.col(f"first_{b}")).alias(f"{a}_to_{b}_days")
@@ -70,7 +70,7 @@ def running_balance(entries: DataFrame, keys: list[str], day: str, entry: str, c
     is therefore split: within (key, day, chunk of entry numbers), plus the chunks before it
     that day, plus the days before. ``entry`` is a whole number, unique within (key, day), so a
     chunk holds at most ``chunk`` rows and a day of a key one row per chunk. Entries without
-    key, day or number have no place in the order and are left out.
+    key, day or number have no place in the order; ``unplaced_entries`` returns them.
     """
     part = "_chunk"
     in_chunk = Window.partitionBy(*keys, day, part).orderBy(entry)
@@ -101,6 +101,11 @@ def running_balance(entries: DataFrame, keys: list[str], day: str, entry: str, c
     )
 
 
+def unplaced_entries(entries: DataFrame, keys: list[str], day: str, entry: str) -> DataFrame:
+    """The entries that ``running_balance`` cannot place: without key, day or number."""
+    return entries.where(any_null([*keys, day, entry]))
+
+
 def plan_against_actual(
     plan: DataFrame, plan_units: str, actual: DataFrame, actual_units: str, keys: list[str]
 ) -> DataFrame:
@@ -135,7 +140,7 @@ def demand_against_actual(demand: DataFrame, actual: DataFrame, key: str, target
 
 def single_source(links: DataFrame, key: str, source: str) -> DataFrame:
     """Keys with exactly one distinct source. Smallest = largest decides it without a distinct count."""
-    per_key = links.where(F.col(source).isNotNull()).groupBy(key).agg(
+    per_key = links.where(F.col(key).isNotNull() & F.col(source).isNotNull()).groupBy(key).agg(
         F.min(source).alias("only_source"), F.max(source).alias("_top"), F.count(F.lit(1)).alias("link_count")
     )
     return per_key.where(F.col("only_source") == F.col("_top")).drop("_top")
@@ -203,8 +208,8 @@ def role_join(fact: DataFrame, dimension: DataFrame, key: str, roles: dict[str,
 
 
 def header_rollup(lines: DataFrame, header: str, distinct: dict[str, str], sums: dict[str, str]) -> DataFrame:
-    """Per header: line count, distinct values of some columns, sums of others."""
-    return lines.groupBy(header).agg(
+    """Per header: line count, distinct values of some columns, sums of others. Lines without a header are left out."""
+    return lines.where(F.col(header).isNotNull()).groupBy(header).agg(
         F.count(F.lit(1)).alias("line_count"),
         *[F.countDistinct(c).alias(n) for n, c in distinct.items()],
         *[F.sum(c).alias(n) for n, c in sums.items()],
@@ -217,7 +222,7 @@ def inconsistent_headers(lines: DataFrame, header: str, columns: list[str]) -> D
     More than one distinct value is the same as smallest <> largest, so no row is expanded
     once per column and no distinct value is shuffled.
     """
-    spread = lines.groupBy(header).agg(
+    spread = lines.where(F.col(header).isNotNull()).groupBy(header).agg(
         *[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
     )
     differs = [F.col(f"{c}_min") != F.col(f"{c}_max") for c in columns]

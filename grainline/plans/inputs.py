@@ -116,6 +116,24 @@ ORDERS_NULLABLE_SQL = """orders_nullable AS (
   FROM orders)"""
 
 
+# --- children with broken keys: some keys point outside their parent, no row is left out ---
+
+
+def orders_broken(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("o_custkey")
+    return orders_nullable(spark, folder).withColumn("o_custkey", F.when(key % 5 == 1, key + 10**12).otherwise(key))
+
+
+def lineitem_broken(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("l_partkey")
+    return load(spark, folder, "lineitem").withColumn("l_partkey", F.when(key % 5 == 0, key + 10**12).otherwise(key))
+
+
+BROKEN_SQL = f"""{ORDERS_NULLABLE_SQL}, orders_broken AS (
+  SELECT o_orderkey, CASE WHEN o_custkey % 5 = 1 THEN o_custkey + 1000000000000 ELSE o_custkey END AS o_custkey, o_orderdate FROM orders_nullable),
+lineitem_broken AS (SELECT l_orderkey, l_suppkey, CASE WHEN l_partkey % 5 = 0 THEN l_partkey + 1000000000000 ELSE l_partkey END AS l_partkey FROM lineitem)"""
+
+
 # --- order lines as lifecycle events --------------------------------------------------
 
 

@@ -79,7 +79,7 @@ def numeric_describe(spark, folder):
     f"{LINES} " + describe_sql("order_lines", ["order_qty", "delivery_qty", "invoice_qty"]),
 )
 def line_quantity_describe(spark, folder):
-    return describe(i.order_lines(spark, folder), ["order_qty", "delivery_qty", "invoice_qty"], scale=0)
+    return describe(i.order_lines(spark, folder), ["order_qty", "delivery_qty", "invoice_qty"])
 
 
 @query(
@@ -109,7 +109,7 @@ def lag_stats(spark, folder):
     negative = weighted.agg(*[F.coalesce(F.sum(F.when(F.col(n) < 0, F.col("w"))), F.lit(0)).alias(n) for n in names])
     cells = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("negative_rows")) for n in names]
     negative = negative.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-    return describe(weighted, names, scale=0, weight="w").join(negative, "column_name")
+    return describe(weighted, names, weight="w").join(negative, "column_name")
 
 
 @query(

@@ -284,15 +284,18 @@ def all_results(spark, folder):
         found.append(
             scorecard.as_rule(profile, table, f"unique:{column}", "Grain", F.col("rows_in_duplicates"), F.col("total_rows"))
         )
-    edges = [
-        ("lineitem", "l_orderkey", orders, "o_orderkey"),
-        ("lineitem", "l_partkey", load(spark, folder, "part").where("p_size <= 40"), "p_partkey"),
-        ("orders", "o_custkey", load(spark, folder, "customer"), "c_custkey"),
+    part_parent, customer_parent = load(spark, folder, "part"), load(spark, folder, "customer")
+    checks = [
+        ("lineitem", i.lineitem_broken(spark, folder), [
+            ("l_orderkey", "l_orderkey", orders, "o_orderkey", False), ("l_partkey", "l_partkey", part_parent, "p_partkey", False),
+        ]),
+        ("orders", orders, [("o_custkey", "o_custkey", customer_parent, "c_custkey", False)]),
     ]
-    for table, column, parent, parent_column in edges:
-        check = references.reference_check(load(spark, folder, table), column, parent, parent_column, column)
+    for table, child, edges in checks:
+        check = references.reference_checks(child, edges)
         found.append(
-            scorecard.as_rule(check, table, f"reference:{column}", "FK Integrity", F.col("orphan_rows"), F.col("checked_rows"))
+            scorecard.as_rule(check, table, F.concat(F.lit("reference:"), F.col("reference")), "FK Integrity",
+                              F.col("orphan_rows"), F.col("checked_rows"))
         )
     nulls = profiling.total_nulls(i.orders_nullable(spark, folder), ["o_custkey", "o_orderdate"])
     found.append(
@@ -307,8 +310,7 @@ def _metric_sql(table, rule, category, source, violations):
       FROM (SELECT {violations} AS v, count(*) AS t FROM {source})"""
 
 
-SCORECARD_SQL = f"""WITH {i.LINE_DATES_SQL}, {i.MOVES_SQL}, {i.ORDERS_NULLABLE_SQL}, {LABELLED_SQL.removeprefix('WITH ')},
-part_current AS (SELECT * FROM part WHERE p_size <= 40),
+SCORECARD_SQL = f"""WITH {i.LINE_DATES_SQL}, {i.MOVES_SQL}, {i.BROKEN_SQL}, {LABELLED_SQL.removeprefix('WITH ')},
 results AS (""" + _union_sql([
     rule_sql("order_lines", "order_lines", WATERFALL_SQL + AMOUNT_SQL + STATUS_SQL),
     rule_sql("line_dates", "line_dates", DATE_SQL),
@@ -318,9 +320,10 @@ results AS (""" + _union_sql([
     rule_sql("customer", "customer", BOUNDS_SQL["customer"]),
     *[_metric_sql(t, f"unique:{c}", "Grain", f"(SELECT count(*) OVER (PARTITION BY {c}) AS n FROM {t})", "count(*) FILTER (WHERE n > 1)")
       for t, c in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_name"))],
-    *[_metric_sql(t, f"reference:{c}", "FK Integrity", t, f"count(*) FILTER (WHERE {c} NOT IN (SELECT {pc} FROM {p}))")
-      for t, c, p, pc in (("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part_current", "p_partkey"),
-                          ("orders", "o_custkey", "customer", "c_custkey"))],
+    *[_metric_sql(t, f"reference:{c}", "FK Integrity", s, f"count(*) FILTER (WHERE {c} NOT IN (SELECT {pc} FROM {p}))")
+      for t, s, c, p, pc in (("lineitem", "lineitem_broken", "l_orderkey", "orders", "o_orderkey"),
+                             ("lineitem", "lineitem_broken", "l_partkey", "part", "p_partkey"),
+                             ("orders", "orders", "o_custkey", "customer", "c_custkey"))],
     _metric_sql("orders", "critical_nulls", "Nulls", "orders_nullable", "count(*) FILTER (WHERE o_custkey IS NULL) + count(*) FILTER (WHERE o_orderdate IS NULL)"),
 ]) + ")"
 

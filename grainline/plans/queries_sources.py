@@ -184,9 +184,13 @@ def dimension_overwrite(spark, folder):
     return spark.read.parquet(path)
 
 
-@query("file_manifest")
+@query(
+    "file_manifest",
+    f"""WITH {i.FILES_SQL} SELECT path, size_bytes, md5, 'fact' AS table_type, 'documents' AS table_name, CAST(NULL AS VARCHAR) AS year,
+    CAST(NULL AS VARCHAR) AS month, 'doc-' || doc_id || '.txt' AS file_name FROM document_files""",
+)
 def file_manifest(spark, folder):
-    return manifest.file_manifest(spark, folder, "*.parquet").select("file_name", "size_bytes", "md5", "table_type", "year")
+    return manifest.manifest_rows(i.document_files(spark, folder))
 
 
 @query("manifest_diff", f"WITH {i.FILES_SQL} SELECT path, md5, size_bytes, etag, reason, status, verification FROM decisions")

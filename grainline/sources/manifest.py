@@ -44,6 +44,11 @@ def path_labels(path: Column) -> list[Column]:
     ]
 
 
+def manifest_rows(files: DataFrame) -> DataFrame:
+    """The manifest of files known by (path, md5, size_bytes): path, size, MD5 and the labels in the path."""
+    return files.select("path", "size_bytes", "md5", *path_labels(F.col("path")))
+
+
 def file_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Path, size, MD5 and labels of every file.
 
@@ -56,16 +61,19 @@ def file_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFra
     empty = all_paths(spark, root, pattern).join(files, "path", "left_anti").select(
         "path", F.lit(0).cast("bigint").alias("size_bytes"), F.md5(F.lit("")).alias("md5")
     )
-    return hashed.unionByName(empty).select("*", *path_labels(F.col("path")))
+    return manifest_rows(hashed.unionByName(empty))
 
 
 def transfer_decisions(new: DataFrame, prior: DataFrame, key: str = "path", force: bool = False) -> DataFrame:
     """What to do with each new file, given the etags already stored.
 
-    ``new`` has (key, md5, size_bytes), ``prior`` has (key, etag). An etag with a dash comes from
-    a multipart transfer and cannot be compared with an MD5.
+    ``new`` has (key, md5, size_bytes), ``prior`` has (key, etag) and, where a key may have been
+    stored more than once, ``stored_at``: the latest entry counts, of equal ones the larger etag.
+    An etag with a dash comes from a multipart transfer and cannot be compared with an MD5.
     """
-    joined = new.select(key, "md5", "size_bytes").join(prior.select(key, "etag"), key, "left")
+    when = F.struct("stored_at", "etag") if "stored_at" in prior.columns else F.struct("etag")
+    latest = prior.groupBy(key).agg(F.max_by("etag", when).alias("etag"))
+    joined = new.select(key, "md5", "size_bytes").join(latest, key, "left")
     absent = F.col("etag").isNull()
     multipart = F.contains(F.col("etag"), F.lit("-"))
     same = F.col("etag") == F.col("md5")

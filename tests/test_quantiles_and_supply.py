@@ -24,7 +24,7 @@ CASES = {
 def test_quantiles_match_linear_interpolation(spark, name):
     values = CASES[name]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v bigint").repartition(3)
-    got = {r.probability: r.value for r in exact_quantiles(df, ["v"], (0.0, 0.25, 0.5, 0.9, 1.0), scale=0).collect()}
+    got = {r.probability: r.value for r in exact_quantiles(df, ["v"], (0.0, 0.25, 0.5, 0.9, 1.0)).collect()}
     for p, value in got.items():
         assert value == pytest.approx(np.quantile(values, p), rel=1e-12)
 
@@ -37,16 +37,25 @@ def test_quantiles_of_money_and_weights(spark):
     for p in (0.25, 0.5, 0.75):
         assert got["a", p] == pytest.approx(np.quantile(values, p)) and got["b", p] == got["a", p]
     weighted = spark.createDataFrame([(1, 3), (4, 2), (9, 5)], "v int, w bigint")
-    d = one(describe(weighted, ["v"], scale=0, weight="w"))
+    d = one(describe(weighted, ["v"], weight="w"))
     flat = [1] * 3 + [4] * 2 + [9] * 5
     assert d["count"] == 10 and d["q50"] == np.median(flat) and d["q25"] == np.quantile(flat, 0.25)
     assert d["std"] == pytest.approx(np.std(flat, ddof=1), abs=1e-4)
 
 
-def test_describe_leaves_empty_columns_out(spark):
+def test_describe_has_a_row_for_every_column(spark):
     df = spark.createDataFrame([(1, None), (3, None)], "a int, b int")
-    assert [r.column_name for r in describe(df, ["a", "b"], scale=0).collect()] == ["a"]
-    assert describe(df.where("false"), ["a"]).count() == 0
+    assert {r.column_name: r["count"] for r in describe(df, ["a", "b"]).collect()} == {"a": 2, "b": 0}
+    got = one(describe(df.where("false"), ["a"]))
+    assert got["count"] == 0 and got["mean"] is None and got["q50"] is None
+
+
+def test_describe_keeps_small_and_large_values(spark):
+    df = spark.createDataFrame([(0.0011, 1e18, 5.0), (0.0012, 2e18, float("nan")), (0.0049, -3e18, None)], "a double, b double, c double")
+    got = {r.column_name: r for r in describe(df, ["a", "b", "c"], digits=None).collect()}
+    assert got["a"].q50 == 0.0012 and got["a"].min == 0.0011 and got["a"].std == pytest.approx(np.std([0.0011, 0.0012, 0.0049], ddof=1))
+    assert got["b"].max == 2e18 and got["b"].q25 == pytest.approx(np.quantile([1e18, 2e18, -3e18], 0.25))
+    assert (got["c"]["count"], got["c"].mean, got["c"].std) == (1, 5.0, None)
 
 
 def test_running_balance_against_brute_force(spark):

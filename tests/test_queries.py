@@ -13,8 +13,8 @@ from grainline.plans.check import TABLES, compare  # noqa: E402
 FOLDER = os.environ.get("GRAINLINE_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
-# Queries whose files are read inside tasks; everything else stays in the JVM.
-READS_FILES = {"file_manifest"}
+# Queries whose file headers are read inside tasks; everything else stays in the JVM.
+READS_FILES = {"schema_diff", "schema_drift_union", "row_preservation"}
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +40,7 @@ def test_query(spark, db, name):
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"):
         assert node not in plan, f"{name}: {node}"
     if name not in READS_FILES:
-        assert "MapInPandas" not in plan or name == "schema_diff"
+        assert "MapInPandas" not in plan
 
 
 def test_contract(spark):

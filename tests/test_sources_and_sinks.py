@@ -152,6 +152,8 @@ def test_transfer_decisions(spark):
         ("c", "checksum_match", "skipped", "md5"),
         ("d", "mismatch", "failed", "md5"),
     ]
+    again = spark.createDataFrame([("b", "m-2", 1), ("b", "m", 3), ("b", "other", 2)], "path string, etag string, stored_at int")
+    assert [r.reason for r in manifest.transfer_decisions(new.where("path = 'b'"), again).collect()] == ["checksum_match"]
     forced = manifest.transfer_decisions(new, prior, force=True)
     assert [r.reason for r in forced.orderBy("path").collect()] == [
         "file_not_exists", "force_overwrite_multipart", "force_overwrite", "force_overwrite_mismatch"
