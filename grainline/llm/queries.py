@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from grainline.llm import backoff, chat, decontaminate, exact_dedup, language, licenses, mixing, ngram_join, substrings, toxicity
+from grainline.llm import backoff, chat, checks, decontaminate, exact_dedup, language, licenses, mixing, ngram_join, substrings, toxicity
 from grainline.llm.common import remainder
 from grainline.session import load
 
@@ -50,12 +50,12 @@ def op3_exact_dedup(spark, folder):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-@query("op5_source_mixing")
+@query("op5_source_mixing", checks.MIXING)
 def op5_source_mixing(spark, folder):
     return mixing.mix(load(spark, folder, "documents"))
 
 
-@query("op7_license_scan")
+@query("op7_license_scan", checks.LICENSES)
 def op7_license_scan(spark, folder):
     return licenses.scan(load(spark, folder, "documents"))
 
@@ -75,7 +75,7 @@ def op6_toxicity(spark, folder):
     return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
-@query("op9_ngram_jaccard_join")
+@query("op9_ngram_jaccard_join", checks.JACCARD)
 def op9_ngram_jaccard_join(spark, folder):
     return ngram_join.join(load(spark, folder, "documents"), size=3, num=90, den=100)
 
