@@ -21,11 +21,12 @@ from grainline.llm import tokens
 from grainline.llm.common import named, remainder, same_text, settle, text_key, whole
 
 # Bound of the fitting sample, in labelled documents.
-SAMPLE = 20_000
+SAMPLE = 40_000
 # Bounds of the learned lexicons: entries each, and training documents an entry must occur in.
 LEXICON_SIZE = 5_000
 LEAST_DOCUMENTS = 5
-STEM = 5
+# Lengths of the word beginnings that are learned.
+STEMS = (4, 5, 6, 7)
 LIMIT = 0.7
 TREES, DEPTH = 20, 4
 
@@ -34,8 +35,8 @@ INSULTS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum",
 # Second-person words of the languages in use.
 SECOND_PERSON = ("du", "dich", "dein", "eres", "ihr", "te", "ti", "toi", "tu", "tú", "usted", "vous", "you", "your", "you're", "yourself")
 FEATURES = (
-    "insults", "insult_share", "forms", "form_share", "stems", "stem_share", "weight", "near_you", "you_share", "capitals", "punctuation", "marks_in_words",
-    "repeated_words", "log_words",
+    "insults", "insult_share", "forms", "form_share", *(f"stems_{k}" for k in STEMS), *(f"stem_share_{k}" for k in STEMS), "weight", "near_you", "you_share",
+    "capitals", "punctuation", "marks_in_words", "repeated_words", "log_words",
 )
 NEAR = 3
 
@@ -56,7 +57,7 @@ def _entries():
                     continue
                 bare = _bare(found.vocab)
                 toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-                for kind, values in (("form", bare), ("stem", pc.utf8_slice_codeunits(bare, 0, STEM))):
+                for kind, values in (("form", bare), *((f"stem_{k}", pc.utf8_slice_codeunits(bare, 0, k)) for k in STEMS)):
                     coded = values.dictionary_encode()
                     ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[found.ids]
                     pair = np.unique(found.doc * len(coded.dictionary) + ids)
@@ -72,9 +73,9 @@ def _entries():
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, dict[str, float]]:
-    """{form: {entry: log odds}, stem: ...}: the entries that mark toxic training documents most, at most LEXICON_SIZE each."""
+    """{form: {entry: log odds}, stem_4: ...}: the entries that mark toxic training documents most, at most LEXICON_SIZE each."""
     base = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
-    found: dict[str, dict[str, float]] = {"form": {}, "stem": {}}
+    found: dict[str, dict[str, float]] = {"form": {}, **{f"stem_{k}": {} for k in STEMS}}
     if not base["bad"] or base["bad"] == base["n"]:
         return found
     prior = float(np.log(base["bad"] / (base["n"] - base["bad"])))
@@ -101,7 +102,7 @@ def features_of(texts: pa.Array, lexicon) -> np.ndarray:
     bare = _bare(found.vocab)
     insult = _per_word(bare, dict.fromkeys(INSULTS, 1.0))[ids]
     form = _per_word(bare, lexicon["form"])[ids]
-    stem = _per_word(pc.utf8_slice_codeunits(bare, 0, STEM), lexicon["stem"])[ids]
+    stems = [_per_word(pc.utf8_slice_codeunits(bare, 0, k), lexicon[f"stem_{k}"])[ids] for k in STEMS]
     you = _per_word(bare, dict.fromkeys(SECOND_PERSON, 1.0))[ids]
     inner = pc.match_substring_regex(bare, r"\p{L}[^\p{L}\s'-]+\p{L}")
     inner = pc.or_(inner, pc.match_substring_regex(found.vocab, r"[\p{L}].*(?:[#$%&*@]{2,})")).to_numpy(zero_copy_only=False).astype(float)[ids]
@@ -122,11 +123,11 @@ def features_of(texts: pa.Array, lexicon) -> np.ndarray:
     count = np.bincount(doc, minlength=n_docs).astype(float)
     safe = np.maximum(count, 1)
     total = lambda x: np.bincount(doc, x, n_docs)
-    form_hit, stem_hit = (form > 1).astype(float), (stem > 1).astype(float)
+    form_hit, stem_hits = total((form > 1).astype(float)), [total((s > 1).astype(float)) for s in stems]
     return np.column_stack(
         [
-            total(insult), total(insult) / safe, total(form_hit), total(form_hit) / safe, total(stem_hit), total(stem_hit) / safe,
-            total(form + stem) / safe, total(near) / safe, total(you) / safe, total(upper) / safe, total(marks) / np.maximum(total(sizes), 1),
+            total(insult), total(insult) / safe, form_hit, form_hit / safe, *stem_hits, *(h / safe for h in stem_hits), total(form + sum(stems)) / safe,
+            total(near) / safe, total(you) / safe, total(upper) / safe, total(marks) / np.maximum(total(sizes), 1),
             total(inner) / safe, total(again) / safe, np.log1p(count),
         ]
     )

@@ -79,7 +79,7 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_features():
-    lexicon = {"form": {"bad": 3.0}, "stem": {"badst": 2.0}}
+    lexicon = {"form": {"bad": 3.0}, **{f"stem_{k}": {"badst": 2.0} for k in toxicity.STEMS}}
     rows = toxicity.features_of(pa.array(["You are bad! Idiot", "", "a b", "BAD"]), lexicon)
     named = [dict(zip(toxicity.FEATURES, r)) for r in rows]
     assert named[0]["insults"] == 1 and named[0]["forms"] == 1 and named[0]["near_you"] == 0.5
