@@ -88,11 +88,9 @@ def readiness(metrics: DataFrame, checks: dict[str, Column], ready: str, not_rea
     ).select("c.*", "passed_pct", "verdict")
 
 
-def against_baseline(counts: DataFrame, expected: dict[str, int]) -> DataFrame:
-    """Row counts against a published baseline; tables without one are listed as such."""
-    known = F.create_map(*[F.lit(x) for name, n in expected.items() for x in (name, n)])
-    wanted = F.try_element_at(known, F.col("table_name")).cast("bigint")
-    return counts.withColumn("expected_rows", wanted).withColumn(
+def against_baseline(counts: DataFrame, expected: DataFrame) -> DataFrame:
+    """Row counts against (table_name, expected_rows); tables without a baseline are listed as such."""
+    return counts.join(expected.select("table_name", "expected_rows"), "table_name", "left").withColumn(
         "status",
         F.when(F.col("expected_rows").isNull(), F.lit("NO BASELINE"))
         .when(F.col("expected_rows") == F.col("row_count"), F.lit("MATCH"))

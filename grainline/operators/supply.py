@@ -11,23 +11,30 @@ from grainline.functions.compare import days_between, percent
 from grainline.operators.keys import any_null
 
 
-def trace(start: DataFrame, steps: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
+def trace(start: DataFrame, steps: list[tuple]) -> DataFrame:
     """Follow a chain of references and return (level, entity) for everything reached.
 
-    ``start`` holds one column of distinct keys. Each step is (link table, its key to the
-    previous level, its key to the next level, level name). Every level is reduced to
-    distinct keys before the next join, so fan-out never multiplies along the chain.
+    ``start`` holds distinct keys of one or more columns. Each step is (link table, its key to the
+    previous level, its key to the next level, level name); a key is a column or a list of columns,
+    and with a composite key among them all entities are text, values joined by a slash. Every level is reduced to distinct keys
+    before the next join, so fan-out never multiplies along the chain.
     """
+    many = lambda key: [key] if isinstance(key, str) else list(key)
+    composite = any(len(many(onwards)) > 1 for _, _, onwards, _ in steps)
     frontier, found = start, []
     for link, towards, onwards, level in steps:
+        back, on = many(towards), many(onwards)
+        left = [f"_from{k}" for k in range(len(back))]
+        right = [f"_to{k}" for k in range(len(on))]
         frontier = (
-            link.select(F.col(towards).alias("_from"), F.col(onwards).alias("_to"))
-            .join(frontier.toDF("_from"), "_from", "left_semi")
-            .where(F.col("_to").isNotNull())
-            .select("_to")
+            link.select(*[F.col(c).alias(n) for c, n in zip(back, left)], *[F.col(c).alias(n) for c, n in zip(on, right)])
+            .join(frontier.toDF(*left), left, "left_semi")
+            .where(~any_null(right))
+            .select(*right)
             .distinct()
         )
-        found.append(frontier.select(F.lit(level).alias("level"), F.col("_to").alias("entity")))
+        entity = F.concat_ws("/", *[F.col(c).cast("string") for c in right]) if composite else F.col(right[0])
+        found.append(frontier.select(F.lit(level).alias("level"), entity.alias("entity")))
     return reduce(lambda a, b: a.unionByName(b), found)
 
 

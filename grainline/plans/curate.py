@@ -16,6 +16,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainline.operators.business import business_rules
 from grainline.operators.curation import conversion_rules, convert, table_rules
 from grainline.operators.keys import duplicate_rows, key_profile
 from grainline.operators.references import orphan_rows, reference_check
@@ -48,7 +49,7 @@ def stage(
     raw: DataFrame, spec: TableSpec, path: str, expected: DataFrame, max_records: int = MAX_RECORDS_PER_FILE
 ) -> Staged:
     """Write the typed rows together with the ids of the rules each one breaks."""
-    rules = table_rules(spec) + conversion_rules(spec)
+    rules = table_rules(spec) + conversion_rules(spec) + business_rules(spec)
     projected = raw.select(
         *[convert(c, spec).alias(c.name) for c in spec.columns], broken_ids(rules).alias(BROKEN)
     )

@@ -309,7 +309,7 @@ def quality_report(spark, folder):
     return report_rows(evaluate(i.raw_orders(spark, folder), rules, "raw_orders"), "run-1")
 
 
-PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query(

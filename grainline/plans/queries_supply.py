@@ -38,6 +38,31 @@ def batch_trace(spark, folder):
     return supply.trace(recalled, products).unionByName(supply.trace(recalled, chain))
 
 
+@query(
+    "recall_chain",
+    f"""{MOVES}, b AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)),
+    a AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem JOIN b USING (l_partkey, l_suppkey)),
+    m AS (SELECT DISTINCT order_no, line_no, movement_type FROM moves JOIN a ON order_no = l_orderkey AND line_no = l_linenumber WHERE movement_type IS NOT NULL),
+    o AS (SELECT DISTINCT moves.order_no FROM moves JOIN m USING (order_no, line_no, movement_type)),
+    c AS (SELECT DISTINCT o_custkey FROM orders JOIN o ON order_no = o_orderkey)
+    SELECT 'batch' AS level, l_partkey || '/' || l_suppkey AS entity FROM b UNION ALL SELECT 'allocation', l_orderkey || '/' || l_linenumber FROM a
+    UNION ALL SELECT 'movement', order_no || '/' || line_no || '/' || movement_type FROM m
+    UNION ALL SELECT 'order', CAST(order_no AS VARCHAR) FROM o UNION ALL SELECT 'customer', CAST(o_custkey AS VARCHAR) FROM c""",
+)
+def recall_chain(spark, folder):
+    """The whole chain with composite keys: manufacturer, batch, allocation, movement, order, customer."""
+    makers = load(spark, folder, "supplier").where("s_acctbal < 0").select("s_suppkey")
+    lines, moves = load(spark, folder, "lineitem"), i.moves(spark, folder)
+    chain = [
+        (lines, "l_suppkey", ["l_partkey", "l_suppkey"], "batch"),
+        (lines, ["l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber"], "allocation"),
+        (moves, ["order_no", "line_no"], ["order_no", "line_no", "movement_type"], "movement"),
+        (moves, ["order_no", "line_no", "movement_type"], "order_no", "order"),
+        (load(spark, folder, "orders"), "o_orderkey", "o_custkey", "customer"),
+    ]
+    return supply.trace(makers, chain)
+
+
 STAGES = ("signup", "view", "click", "purchase")
 
 
@@ -197,6 +222,18 @@ def plant_hierarchy(spark, folder):
     return supply.hierarchy(load(spark, folder, "supplier"), "s_suppkey", "s_nationkey", parents, "n_nationkey", ["n_name", "r_name"])
 
 
+@query(
+    "self_parent_hierarchy",
+    """SELECT c.c_custkey, nullif(c.c_custkey // 10, 0) AS parent_key, p.c_name AS parent_name FROM customer c
+    LEFT JOIN customer p ON p.c_custkey = nullif(c.c_custkey // 10, 0)""",
+)
+def self_parent_hierarchy(spark, folder):
+    """Customers below other customers: the table is its own parent, roots have none."""
+    cu = load(spark, folder, "customer").withColumn("parent_key", F.nullif(F.expr("c_custkey div 10"), F.lit(0)))
+    up = cu.select("c_custkey", F.col("c_name").alias("parent_name"))
+    return supply.hierarchy(cu, "c_custkey", "parent_key", up, "c_custkey", ["parent_name"])
+
+
 @query(
     "date_dimension",
     """WITH b AS (SELECT least((SELECT min(o_orderdate) FROM orders), (SELECT min(l_shipdate) FROM lineitem)) AS lo,

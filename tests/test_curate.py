@@ -187,3 +187,22 @@ def test_new_columns_are_reported(spark, tmp_path):
     results = curate(spark, [catalog.PRODUCT_BATCHES], {"product_batches": source}, target, "r")
     found = {r.rule_id: r.status for r in results.collect()}
     assert found["schema:extra_column"] == "WARN" and found["schema:missing_column"] == "PASS"
+
+
+def test_business_rules_of_the_catalog(spark):
+    from grainline.operators.business import business_rules
+    from grainline.operators.rules import evaluate
+
+    def broken(spec, **values):
+        full = {**ROWS[spec.name], **values}
+        raw = spark.createDataFrame([tuple(full.get(n) for n in spec.names)], spec.raw_schema)
+        return {r.rule_id for r in evaluate(raw, business_rules(spec), spec.name).collect() if r.violations}
+
+    assert broken(catalog.PRODUCT_BATCHES, expiry_date="2021-01-01", batch_size_units="0") == {"expiry_after_mfg", "positive:batch_size_units"}
+    assert broken(catalog.INVENTORY_MOVEMENTS, movement_type="TRANSFER", units="0") == {"movement_semantics", "units_positive"}
+    assert broken(catalog.PLANT_WAREHOUSE, latitude="91") == {"bounds:latitude"}
+    assert broken(catalog.PRODUCTS_MASTER, price="0", gst_rate="13", formulation="Brick", packing_type="strip") == {
+        "positive:price", "domain:gst_rate", "domain:formulation"
+    }
+    assert broken(catalog.PRODUCT_MANUFACTURER_BRIDGE, price="-1") == {"positive:price"}
+    assert all(not broken(s) for s in (*catalog.DIMENSIONS, *catalog.FACTS) if business_rules(s))
