@@ -9,8 +9,10 @@ no link is lost.
 
 Candidates of a key form a tree, not all pairs: each block of documents keeps its smallest document as leader, and the
 leaders of the blocks meet at the smallest one. So a key of very many documents is one entry per block. Tree edges are
-verified: bit counts of hashed bitmaps bound the overlap from above, then sorted arrays are intersected. Where an edge
-fails, all pairs of different components with that key are verified too.
+verified: bit counts of hashed bitmaps bound the overlap from above, then sorted arrays are intersected. Keys with an edge
+that fails are tried again around their best connected document. What then is not in the largest component of its
+cluster of keys is compared, tile by tile, with all documents of the cluster in neighbouring bands: a tile holds a bounded
+number of shingles, and only links leave it, not pairs.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ SEEDS = 4
 # Keys of a block of documents that are combined before the shuffle, and keys per shuffled bucket.
 BLOCK_KEYS = 1_000_000
 BUCKET_KEYS = 1_000_000
-# Shingles of the children that one verifying task group holds.
+# Shingles and documents of a side that one verifying group holds.
 GROUP_SHINGLES = 200_000
+GROUP_DOCUMENTS = 1000
 
 
 class Tiles:
@@ -216,59 +219,104 @@ def _sets(size):
     return run
 
 
-def _verified(num, den):
-    def bitmap(values):
-        bits = np.zeros(BITS, bool)
-        bits[values >> np.uint64(64 - 12)] = True
-        return np.packbits(bits).view(np.uint64)
+def _bitmaps(sets):
+    bits = np.zeros((len(sets), BITS), bool)
+    for k, values in enumerate(sets):
+        bits[k, values >> np.uint64(64 - 12)] = True
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
+def _compared(num, den):
+    """Links of a tile pair: sets with role 0 against those with role 1, where components differ; one link per component."""
 
     def run(table: pa.Table) -> pa.Table:
-        role = table.column("head").to_pylist()
-        ids = table.column("doc_id").to_pylist()
+        ids, comps = (table.column(c).to_numpy() for c in ("doc_id", "c"))
+        role = table.column("role").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        parent = table.column("parent")[0].as_py()
-        heads, kids = [s for s, r in zip(sets, role) if r], [(i, s) for i, s, r in zip(ids, sets, role) if not r]
-        linked = set()
-        for head in heads:
-            own = bitmap(head)
-            for child, values in kids:
-                least = -(-num * (len(head) + len(values)) // (num + den))
-                bits = bitmap(values)
-                most = min(len(head) - int(np.bitwise_count(own & ~bits).sum()), len(values) - int(np.bitwise_count(bits & ~own).sum()))
-                if most < least:
+        sizes = np.array([len(x) for x in sets])
+        bits = _bitmaps(sets)
+        right = np.flatnonzero(role == 1)
+        found = set()
+        for i in np.flatnonzero(role == 0):
+            own, n = sets[i], sizes[i]
+            least = -(-num * (n + sizes[right]) // (num + den))
+            most = np.minimum(
+                n - np.bitwise_count(bits[i] & ~bits[right]).sum(axis=1), sizes[right] - np.bitwise_count(bits[right] & ~bits[i]).sum(axis=1)
+            )
+            known = set()
+            for j, need in zip(right[(most >= least) & (comps[right] != comps[i])], least[(most >= least) & (comps[right] != comps[i])]):
+                if comps[j] in known:
                     continue
-                at = np.minimum(np.searchsorted(head, values), len(head) - 1)
-                if int((head[at] == values).sum()) >= least:
-                    linked.add(child)
-        kid = sorted({i for i, _ in kids})
-        return pa.table({"parent": pa.array([parent] * len(kid), "int64"), "child": pa.array(kid, "int64"), "linked": pa.array([i in linked for i in kid], "bool")})
+                other = sets[j]
+                at = np.minimum(np.searchsorted(own, other), n - 1)
+                if int((own[at] == other).sum()) >= need:
+                    known.add(comps[j])
+                    found.add((int(ids[i]), int(ids[j])))
+        pairs = sorted(found)
+        return pa.table({"parent": pa.array([p for p, _ in pairs], "int64"), "child": pa.array([c for _, c in pairs], "int64")})
 
     return run
 
 
-def _verify(documents, info, pairs, size, num, den):
-    """parent, child, linked per pair, from the whole texts."""
+def _verify(sets, info, pairs, num, den):
+    """parent, child, linked per pair. A parent meets its children in groups of a bounded number of shingles."""
     one = info.select(F.col("doc_id").alias("parent"), F.col("n").alias("pn"), F.col("a").alias("pa"), F.col("b").alias("pb"))
     two = info.select(F.col("doc_id").alias("child"), F.col("n").alias("cn"), F.col("a").alias("ca"), F.col("b").alias("cb"))
-    sized = pairs.join(one, "parent").join(two, "child")
     equal = (F.col("pn") == F.col("cn")) & (F.col("pa") == F.col("ca")) & (F.col("pb") == F.col("cb"))
     near = F.least("pn", "cn") * den >= F.greatest("pn", "cn") * num
-    sized = settle(sized.select("parent", "child", "cn", equal.alias("equal"), near.alias("near")), "jaccard-sized")
-    known = sized.groupBy("parent", "child").agg(F.max("equal").alias("linked"), F.max("near").alias("near"))
-    done = known.where("linked or not near").select("parent", "child", "linked")
-    todo = sized.where("near").groupBy("parent", "child").agg(F.max("equal").alias("equal"), F.max("cn").alias("cn")).where("not equal")
+    # rows that repeat an id have sets of their own: a pair is then looked at if any of them may link
+    sized = settle(
+        pairs.join(one, "parent").join(two, "child").groupBy("parent", "child")
+        .agg(F.max(equal).alias("equal"), F.max(near).alias("near"), F.max("cn").alias("cn")),
+        "jaccard-sized",
+    )
+    done = sized.where("equal or not near").select("parent", "child", F.col("equal").alias("linked"))
+    todo = sized.where("near and not equal")
     load = todo.groupBy("parent").agg(F.ceil(F.sum("cn") / GROUP_SHINGLES).alias("slots"))
     todo = settle(
         todo.join(load, "parent").select("parent", "child", F.pmod(F.xxhash64("child"), F.greatest("slots", F.lit(1))).alias("slot")), "jaccard-todo"
     )
-    ids = todo.select(F.col("parent").alias("doc_id")).union(todo.select("child")).distinct()
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole(F.col("text")).alias("text")).join(ids, "doc_id", "left_semi")
-    sets = settle(texts.mapInArrow(_sets(size), "doc_id bigint, shingles binary"), "jaccard-sets")
-    kids = todo.join(sets, todo["child"] == sets["doc_id"]).select("parent", "slot", "doc_id", F.lit(False).alias("head"), "shingles")
+    kids = todo.join(sets, todo["child"] == sets["doc_id"]).select("parent", "slot", "doc_id", F.col("doc_id").alias("c"), F.lit(1).alias("role"), "shingles")
     heads = todo.select("parent", "slot").distinct()
-    heads = heads.join(sets, heads["parent"] == sets["doc_id"]).select("parent", "slot", "doc_id", F.lit(True).alias("head"), "shingles")
-    checked = kids.unionByName(heads).groupBy("parent", "slot").applyInArrow(_verified(num, den), "parent bigint, child bigint, linked boolean")
-    return settle(done.unionByName(checked), "jaccard-verified")
+    heads = heads.join(sets, heads["parent"] == sets["doc_id"]).select("parent", "slot", "doc_id", F.col("doc_id").alias("c"), F.lit(0).alias("role"), "shingles")
+    yes = kids.unionByName(heads).groupBy("parent", "slot").applyInArrow(_compared(num, den), "parent bigint, child bigint")
+    marked = todo.select("parent", "child").join(settle(yes, "jaccard-yes").distinct().withColumn("yes", F.lit(True)), ["parent", "child"], "left")
+    return settle(done.unionByName(marked.select("parent", "child", F.coalesce("yes", F.lit(False)).alias("linked"))), "jaccard-verified")
+
+
+def _labelled(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Add the component ``c`` of each doc_id, itself where it has no link."""
+    known = found.select("doc_id", F.col("component_id").alias("__c"))
+    return docs.join(known, "doc_id", "left").withColumn("c", F.coalesce("__c", "doc_id")).drop("__c")
+
+
+def _within_clusters(edges, sets, sizes, found, num, den):
+    """Links between different components of the same cluster of keys, by tiles of neighbouring size bands."""
+    cluster = components(edges.select("parent", "child").distinct()).select("doc_id", F.col("component_id").alias("cluster"))
+    docs = _labelled(cluster.join(sizes, "doc_id"), found)
+    largest = docs.groupBy("cluster", "c").agg(F.count("*").alias("m")).groupBy("cluster").agg(
+        F.max(F.struct("m", "c"))["c"].alias("top"), F.count("*").alias("parts")
+    ).where("parts > 1").drop("parts")
+    step = F.lit(2 * np.log(den / num))
+    docs = docs.join(settle(largest, "jaccard-largest"), "cluster").select(
+        "cluster", "doc_id", "n", "c", (F.col("c") != F.col("top")).alias("minor"), F.floor(F.log("n") / step).alias("band")
+    )
+    docs = settle(docs, "jaccard-clusters")
+    need = lambda rows: F.greatest(F.ceil(F.sum(F.when(rows, F.col("n"))) / GROUP_SHINGLES), F.ceil(F.count_if(rows) / GROUP_DOCUMENTS))
+    tiles = docs.groupBy("cluster", "band").agg(need(F.lit(True)).alias("tiles"), need(F.col("minor")).alias("minor_tiles"))
+    tiles = settle(tiles, "jaccard-tiles")
+    number = lambda seed, count: F.pmod(F.xxhash64("doc_id", F.lit(seed)), count)
+    # each minor document to every tile of the neighbouring bands, each document to every minor tile there
+    mine = tiles.select("cluster", F.col("band").alias("mband"), "minor_tiles").where("minor_tiles > 0")
+    other = tiles.select("cluster", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("mband"), F.col("band").alias("aband"), F.col("tiles").alias("all_tiles"))
+    pairs = settle(mine.join(other, ["cluster", "mband"]), "jaccard-tile-pairs")
+    key = ["cluster", "mband", "aband", "mt", "at"]
+    left = docs.where("minor").withColumnRenamed("band", "mband").join(pairs, ["cluster", "mband"])
+    left = left.select("cluster", "mband", "aband", number(1, F.col("minor_tiles")).alias("mt"), F.explode(F.sequence(F.lit(0), F.col("all_tiles") - 1)).alias("at"), "doc_id", "c", F.lit(0).alias("role"))
+    right = docs.withColumnRenamed("band", "aband").join(pairs, ["cluster", "aband"])
+    right = right.select("cluster", "mband", "aband", F.explode(F.sequence(F.lit(0), F.col("minor_tiles") - 1)).alias("mt"), number(2, F.col("all_tiles")).alias("at"), "doc_id", "c", F.lit(1).alias("role"))
+    filled = left.unionByName(right).join(sets, "doc_id")
+    return filled.groupBy(*key).applyInArrow(_compared(num, den), "parent bigint, child bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -309,28 +357,29 @@ def join(documents: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     least = named.groupBy("n", "a", "b").agg(F.min("doc_id").alias("parent"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     copies = named.join(settle(least, "jaccard-classes"), ["n", "a", "b"]).where("doc_id <> parent").select("parent", F.col("doc_id").alias("child"))
     edges = settle(across.unionByName(within), "jaccard-edges")
-    tested = _verify(documents, named, edges.select("parent", "child").distinct(), size, num, den)
+    ends = edges.select(F.col("parent").alias("doc_id")).union(edges.select("child")).distinct()
+    sets = settle(rows.join(ends, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id bigint, shingles binary"), "jaccard-sets")
+    tested = _verify(sets, named, edges.select("parent", "child").distinct(), num, den)
     links = settle(copies.distinct().unionByName(tested.where("linked").select("parent", "child")), "jaccard-links")
+    found = settle(components(links), "jaccard-found")
     failed = tested.where("not linked").select("parent", "child")
-    found = components(links)
     if not failed.isEmpty():
         keys = edges.join(failed, ["parent", "child"], "left_semi").select("key").distinct()
-        open_edges = edges.join(keys, "key", "left_semi")
-        members = open_edges.select("key", F.col("parent").alias("doc_id")).union(open_edges.select("key", "child")).distinct()
-        labelled = settle(
-            members.join(settle(found, "jaccard-found"), "doc_id", "left").join(named.select("doc_id", "n").distinct(), "doc_id")
-            .select("key", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("c")),
-            "jaccard-open",
-        )
-        other = labelled.select("key", F.col("doc_id").alias("child"), F.col("n").alias("m"), F.col("c").alias("e"))
-        apart = (
-            labelled.join(other, "key")
-            .where("doc_id < child and c <> e").where(F.least("n", "m") * den >= F.greatest("n", "m") * num)
-            .select(F.col("doc_id").alias("parent"), "child").distinct()
-            .join(tested.select("parent", "child"), ["parent", "child"], "left_anti")
-        )
-        more = _verify(documents, named, settle(apart, "jaccard-apart"), size, num, den)
-        found = components(links.unionByName(more.where("linked").select("parent", "child")))
+        open_edges = settle(edges.join(keys, "key", "left_semi"), "jaccard-open")
+        members = settle(open_edges.select("key", F.col("parent").alias("doc_id")).union(open_edges.select("key", "child")).distinct(), "jaccard-members")
+        # the best connected document of a key, such as the text that the others were made from
+        degree = members.groupBy("doc_id").agg(F.count("*").alias("degree"))
+        placed = _labelled(members.join(degree, "doc_id"), found)
+        hubs = placed.groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("minus"), "doc_id", "c")).alias("hub"))
+        again = placed.join(settle(hubs, "jaccard-hubs"), "key").where(F.col("c") != F.col("hub.c"))
+        again = again.select(F.col("hub.doc_id").alias("parent"), F.col("doc_id").alias("child")).distinct()
+        more = _verify(sets, named, settle(again, "jaccard-again"), num, den).where("linked").select("parent", "child")
+        links = settle(links.unionByName(more), "jaccard-links")
+        found = settle(components(links), "jaccard-found")
+        sizes = named.select("doc_id", "n").distinct()
+        last = settle(_within_clusters(open_edges, sets, sizes, found, num, den), "jaccard-last")
+        if not last.isEmpty():
+            found = components(links.unionByName(last))
     known = settle(found, "jaccard-components").withColumnRenamed("doc_id", "__id")
     return (
         info.join(known, info["doc_id"] == known["__id"], "left")
