@@ -74,7 +74,9 @@ def matches(documents: DataFrame, templates: DataFrame, threshold: float = THRES
     known = _with_bigrams(plain.select("license_id", F.xxhash64("part").alias("template"), "part").distinct(), 1)
     known = known.select("license_id", "template", F.col("a").alias("t"), F.explode("grams").alias("gram"))
     bounds = known.agg(F.min("t").alias("least"), F.max("t").alias("most"), F.count("*").alias("n")).first()
-    least, most = (bounds["least"] or 0) * threshold / (2 - threshold), (bounds["most"] or 0) * (2 - threshold) / threshold
+    # a little wider than the exact bounds, which rounding could put on the wrong side; the coefficient itself decides
+    ratio = (2 - threshold) / threshold * (1 + 1e-9)
+    least, most = (bounds["least"] or 0) / ratio, (bounds["most"] or 0) * ratio
     text = F.col("plain")
     lines = F.split(text, "\n")
     # a text with more blanks than the largest template allows is looked at by line only
@@ -92,7 +94,7 @@ def matches(documents: DataFrame, templates: DataFrame, threshold: float = THRES
     )
     if bounds["n"] <= BROADCAST_BIGRAMS:
         known = F.broadcast(known)
-    near = (F.col("a") * (2 - threshold) >= F.col("t") * threshold) & (F.col("t") * (2 - threshold) >= F.col("a") * threshold)
+    near = (F.col("a") * ratio >= F.col("t")) & (F.col("t") * ratio >= F.col("a"))
     # distinct bigrams: rows that repeat an id with the same text count once
     shared = rows.join(known, "gram").where(near).groupBy("doc_id", "unit", "key", "a", "license_id", "template", "t")
     dice = 2 * F.size(F.collect_set("gram")) / (F.col("a") + F.col("t"))
