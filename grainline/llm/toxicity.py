@@ -16,9 +16,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grainline.llm import tokens
-from grainline.llm.common import named, remainder, same_text, settle, text_key, whole
+from grainline.llm.common import remainder, settle, whole
 
 # Bound of the fitting sample, in labelled documents.
 SAMPLE = 40_000
@@ -147,8 +148,7 @@ def _featurize(lexicon, extra):
 
 def featurize(rows: DataFrame, lexicon, extra: list[str]) -> DataFrame:
     """The columns ``extra`` of ``rows`` and one double per feature of ``text``."""
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*(f"{n} {kinds[n]}" for n in extra), *(f"{n} double" for n in FEATURES)])
+    schema = T.StructType([*(rows.schema[n] for n in extra), *(T.StructField(n, T.DoubleType()) for n in FEATURES)])
     return rows.select(*extra, "text").mapInArrow(_featurize(lexicon, extra), schema)
 
 
@@ -178,7 +178,8 @@ def labelled(documents: DataFrame, labels: DataFrame, modulus: int = 3, held_out
     n = known.count()
     place = F.pmod(F.xxhash64("__id", F.lit("toxic-sample")), F.lit(1 << 30)) / F.lit(1 << 30)
     chosen = known.where(place * F.lit(float(n)) < bound)
-    rows = documents.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id"))
+    # about ``bound`` ids, so the texts need not be shuffled to meet them
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
     return rows.select(whole(F.col("text")).alias("text"), "toxic", F.pmod(F.xxhash64("doc_id", F.lit("toxic-part")), F.lit(5)).cast("int").alias("part"))
 
 
@@ -199,27 +200,31 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int
     return Model(lexicon, trees, IsotonicRegression(featuresCol="raw", labelCol="label").fit(held), float(share))
 
 
+def _scored(rows: DataFrame, model: Model, extra: list[str]) -> DataFrame:
+    """The columns ``extra`` and the score of each row's text."""
+    if model.trees is None:
+        return rows.select(*extra, F.lit(model.constant).alias("score"))
+    out = _raw(model.trees, featurize(rows, model.lexicon, extra))
+    value = F.col("raw")
+    if model.calibration is not None:
+        out = model.calibration.transform(out)
+        value = 0.98 * F.col("prediction") + 0.02 * F.col("raw")
+    return out.select(*extra, F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)).alias("score"))
+
+
 def score(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id, text_key, score, predicted per row, from the text alone; NULL texts score like empty ones.
+    """doc_id, score, predicted per row, from the text alone; NULL texts score like empty ones.
 
     The score is the calibrated probability of a toxic label; a small part of the trees' own probability keeps the
     order within the steps of the calibration. ``predicted`` is 1 from a score of 0.7. Rows with equal texts score the
     same. Without both labels in the sample every score is the share of toxic labels. An empty table gives no rows.
     """
-    rows = documents.select("doc_id", text_key(F.col("text")).alias("text_key"), F.col("text"))
-    if model.trees is None:
-        out = rows.select("doc_id", "text_key", F.lit(model.constant).alias("score"))
-    else:
-        out = _raw(model.trees, featurize(rows, model.lexicon, ["doc_id", "text_key"]))
-        value = F.col("raw")
-        if model.calibration is not None:
-            out = model.calibration.transform(out)
-            value = 0.98 * F.col("prediction") + 0.02 * F.col("raw")
-        out = out.select("doc_id", "text_key", F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)).alias("score"))
-    return out.withColumn("predicted", F.when(F.col("score") >= LIMIT, 1).otherwise(0))
+    found = _scored(documents.select("doc_id", "text"), model, ["doc_id"])
+    return found.withColumn("predicted", F.when(F.col("score") >= LIMIT, 1).otherwise(0))
 
 
 def reject(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that are not predicted toxic."""
-    toxic = named(score(documents, fit(documents, labels)).where("predicted = 1"))
-    return documents.join(toxic, same_text(documents, toxic), "left_anti")
+    """The documents, with all their columns, that are not predicted toxic. The rows pass through the scoring, no join."""
+    model = fit(documents, labels)
+    rows = documents.select(F.struct(*(documents[c] for c in documents.columns)).alias("row"), "text")
+    return _scored(rows, model, ["row"]).where(F.col("score") < LIMIT).select("row.*")
