@@ -49,7 +49,8 @@ def training_rows(documents: DataFrame, modulus: int = 4, held_out: int = 2, bou
     usable = documents.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), modulus) != held_out))
     per = usable.groupBy(F.col("lang").alias("__lang")).agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id", F.lit("lang-sample")), F.lit(1 << 30)) / F.lit(1 << 30)
-    return usable.join(per, usable["lang"] == F.col("__lang")).where(place * F.col("n") < bound).select(
+    # one row per language, as many as the model has columns: the texts stay where they are
+    return usable.join(F.broadcast(per), usable["lang"] == F.col("__lang")).where(place * F.col("n") < bound).select(
         "lang", "text", (F.pmod(F.xxhash64("doc_id", F.lit("lang-tune")), F.lit(5)) == 0).alias("tune")
     )
 
