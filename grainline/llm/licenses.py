@@ -1,6 +1,6 @@
 """License scans: Dice coefficient of word bigrams between normalised text and license templates.
 
-Each line of a text, and each text of several lines as a whole, is a unit. A unit of a bigrams and a template of t can
+Each line of a text, and each text of several lines as a whole, is a unit, of whatever length. A unit of a bigrams and a template of t can
 only reach the threshold s if a * (2 - s) >= t * s and t * (2 - s) >= a * s; units and templates outside these bounds
 are never compared. The rest meet by equal bigrams. DataFrame operations only.
 """
@@ -79,9 +79,7 @@ def matches(documents: DataFrame, templates: DataFrame, threshold: float = THRES
     least, most = (bounds["least"] or 0) / ratio, (bounds["most"] or 0) * ratio
     text = F.col("plain")
     lines = F.split(text, "\n")
-    # a text with more blanks than the largest template allows is looked at by line only
-    several = (F.size(lines) > 1) & (F.size(F.split(text, "[ \n]+")) <= 4 * most + 4)
-    units = F.when(several, F.concat(F.array(text), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
+    units = F.when(F.size(lines) > 1, F.concat(F.array(text), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
     parts = (
         documents.select("doc_id", _plain(whole(F.col("text"))).alias("plain"))
         .select("doc_id", F.posexplode(units).alias("unit", "part"))

@@ -127,3 +127,11 @@ def test_licenses_odd_rows(spark, table, odd_rows):
     assert licenses.scan(table([(1, "Released under the MIT License.")]), none).first()["license_id"] is None
     twice = licenses.scan(table([(1, "Released under the MIT License.")] * 2)).select(F.round("dice", 9).alias("d")).collect()
     assert [r["d"] for r in twice] == [1.0, 1.0]
+
+
+def test_licenses_of_long_repeated_text(table):
+    wrapped = licenses.TEMPLATES[3][1].replace(" to ", "\nto ")
+    rows = [(1, "\n".join([wrapped] * 7)), (2, "\n".join(["Released under the MIT License."] * 80))]
+    got = {r["doc_id"]: r for r in licenses.scan(table(rows)).collect()}
+    assert got[1]["license_id"] == "MIT" and got[1]["dice"] == pytest.approx(brute.dice(rows[0][1], licenses.TEMPLATES[3][1]))
+    assert got[2]["n_matches"] == 81
