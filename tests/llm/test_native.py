@@ -135,3 +135,48 @@ def test_licenses_of_long_repeated_text(table):
     got = {r["doc_id"]: r for r in licenses.scan(table(rows)).collect()}
     assert got[1]["license_id"] == "MIT" and got[1]["dice"] == pytest.approx(brute.dice(rows[0][1], licenses.TEMPLATES[3][1]))
     assert got[2]["n_matches"] == 81
+
+
+def test_licenses_inside_longer_text(table):
+    import textwrap
+
+    known = dict(licenses.FULL_TEXTS)
+    short = "Licensed under the Apache License, Version 2.0."
+    prose = " ".join(f"w{k}" for k in range(150)) + " "
+    rows = [
+        (1, "\n".join(textwrap.wrap("The MIT License Copyright (c) 2020 Some One " + known["MIT"], 78))),
+        (2, f"Some prose. {short} More prose"),
+        (3, "\n".join(textwrap.wrap(prose + licenses.TEMPLATES[3][1] + " " + prose, 40))),
+        (4, prose + short + " " + prose + short + " " + licenses.TEMPLATES[3][1]),
+        (5, prose + licenses.TEMPLATES[3][1].replace("limitation", "limitation " + "x " * 900) + " " + prose),
+        (6, prose + "Permission is hereby granted, free of charge. " + prose),
+        (7, short + "\n" + prose + short),
+        (8, "\n".join(textwrap.wrap(prose + known["BSD-3-Clause"] + " " + prose, 60))),
+    ]
+    out = licenses.scan(table([*rows, rows[1]]))
+    got = {r["doc_id"]: (r["license_id"], r["dice"] and round(r["dice"], 4), r["n_matches"]) for r in out.collect()}
+    assert got[1][0] == "MIT" and got[1][1] > 0.9 and got[1][2] == 1
+    assert got[2] == ("Apache-2.0", 1.0, 1) and got[3] == ("MIT", 1.0, 1)
+    assert got[4] == ("Apache-2.0", 1.0, 3) and got[7] == ("Apache-2.0", 1.0, 2)
+    assert got[5][0] == "MIT" and got[5][1] > 0.9 and got[6] == (None, None, 0)
+    assert got[8][:2] == ("BSD-3-Clause", 1.0)
+    no_python(out)
+
+
+def test_license_runs_against_brute_force(spark, table):
+    rng = random.Random(8)
+    template = "a b c d e f g h"
+    rows = []
+    for i in range(80):
+        w = template.split()
+        for _ in range(rng.randint(0, 3)):
+            w[(k := rng.randint(0, len(w))) : k + rng.randint(0, 1)] = rng.choice([["x"], ["y", "y", "y", "y"], ["a", "b"], []])
+        rows.append((i, " ".join(rng.choices("pqrab", k=rng.randint(0, 12)) + w + rng.choices("pqrgh", k=rng.randint(0, 12)))))
+    known = spark.createDataFrame([("T", template)], "license_id string, text string")
+    got = {r["doc_id"]: r["dice"] for r in licenses.scan(table(rows), known).collect()}
+    for i, text in rows:
+        w, line = text.split(), brute.dice(text, template)
+        best = max(brute.dice(" ".join(w[a:b]), template) for a in range(len(w)) for b in range(a + 2, len(w) + 1))
+        want = line if line >= licenses.THRESHOLD else best
+        assert got[i] == (pytest.approx(want) if want >= licenses.THRESHOLD else None), text
+    assert len(set(got.values())) > 3
