@@ -7,6 +7,8 @@ string tiling). The share of the item's words under tiles is its coverage: reord
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,11 +50,20 @@ def tile(item, text, shortest):
                 runs.append((-n, p, t))
         if not runs:
             return found
-        for n, p, t in sorted(runs):
+        heapq.heapify(runs)
+        while runs:
+            n, p, t = heapq.heappop(runs)
             n = -n
-            if free_item[p : p + n].all() and free_text[t : t + n].all():
+            free = free_item[p : p + n] & free_text[t : t + n]
+            if free.all():
                 free_item[p : p + n] = free_text[t : t + n] = False
                 found.append((n, p, t))
+                continue
+            # what a longer tile has left of the run waits for its turn by length
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], free, [False])).astype(np.int8))).tolist()
+            for a, b in zip(edges[::2], edges[1::2]):
+                if b - a >= shortest:
+                    heapq.heappush(runs, (a - b, p + a, t + a))
 
 
 def _words(texts):

@@ -129,6 +129,18 @@ def test_tiling_against_brute_force(spark, table):
             assert got.get((i, k), 0.0) == pytest.approx(want)
 
 
+def test_tiling_of_overlapping_passages():
+    names = [f"w{k}" for k in range(36)]
+    texts = [names[0:12] + ["x"] + names[8:18] + ["y"] + names[15:20]]
+    rng = random.Random(11)
+    for _ in range(200):
+        cuts = [(a, a + rng.randint(4, 14)) for a in (rng.randint(0, 30) for _ in range(rng.randint(2, 5)))]
+        texts.append([w for k, (a, b) in enumerate(cuts) for w in (*names[a:b], f"z{k}")])
+    number = lambda ws: np.array([hash(w) & (2**63 - 1) for w in ws], np.uint64)
+    got = [sum(n for n, _, _ in decontaminate.tile(number(names), number(t), decontaminate.SEED)) for t in texts]
+    assert got == [brute.tiling(names, t, decontaminate.SEED) for t in texts] and got[0] == 18
+
+
 def test_large_benchmark_by_shuffle(spark, table):
     rows, items = cases()
     rows.append((3, rows[0][1]))
