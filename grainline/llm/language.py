@@ -217,7 +217,7 @@ def fit(documents: DataFrame, modulus: int = 4, held_out: int = 2, bound: int =
         top = totals.where(F.col("lang") == lang).orderBy(F.desc("n"), "form").limit(FORMS_PER_LANGUAGE).select("form", "n").toArrow()
         forms[lang] = dict(zip(top.column("form").to_pylist(), top.column("n").to_pylist()))
     model = Model(forms)
-    tune = sample.where("tune").select("lang", F.col("text")).limit(bound).toArrow()
+    tune = sample.where("tune").select("lang", "text").toArrow()
     return calibrate(model, tune.column("text").combine_chunks(), tune.column("lang").to_pylist())
 
 

@@ -60,6 +60,14 @@ def test_language_odd_rows(table, odd_rows):
     assert language.identify(table([(1, "a b")]), none).first()["lang_pred"] == "und"
 
 
+def test_every_language_is_tuned(table):
+    rows = [(k * 1000 + i, f"w{k}{i} w{k}a w{k}b", "s", f"l{k:02}") for k in range(24) for i in range(60)]
+    model = language.fit(table(rows), bound=10)
+    tuned = {r["lang"] for r in language.training_rows(table(rows), bound=10).where("tune").collect()}
+    # more languages than the bound of one
+    assert len(tuned) > 10 and {x for x, limit in zip(model.languages, model.limit) if np.isfinite(limit)} == tuned
+
+
 def test_folds_are_crc32(spark):
     from grainline.llm.common import remainder
 
