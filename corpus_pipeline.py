@@ -36,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document that is left."""
-    return mixing.mix(docs)
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 STAGES = [

@@ -88,15 +88,24 @@ def apportion(parties: DataFrame, group: list[str], order: list, votes: str, hou
     )
 
 
-def mix(documents: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken per row of ``documents``.
-
-    NULL texts have size 0 and are taken 0 times. NULL is a source of its own, the last. Rows that repeat an id are
+def mix(
+    documents: DataFrame,
+    block: int = BLOCK,
+    shard_rows: int = SHARD_ROWS,
+    seed: str = SEED,
+    weights=WEIGHTS,
+    share: float = SHARE,
+    repeats: int = REPEATS,
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken, passes, spans per row of ``documents``.
+
+    The whole document is taken ``passes`` times and, once more, each of ``spans``: (start, end) by words, end exclusive.
+    ``taken`` is the number of words of all these. NULL texts have size 0 and are taken 0 times. NULL is a source of its own, the last. Rows that repeat an id are
     documents of their own with neighbouring places in the stream. An empty table gives no rows. Only doc_id, text and
     source are read.
     """
     sizes = settle(documents.select("doc_id", "source", count_words(F.col("text")).alias("size")), "mix-sizes")
-    sources = targets(sizes)
+    sources = targets(sizes, weights, share, repeats)
     wanted = sources.withColumn("house", F.round(F.sum("target").over(Window.partitionBy()) / block).cast("bigint"))
     quotas = settle(
         apportion(wanted, [], [F.col("source").isNull(), "source"], "target", "house").select(
@@ -114,7 +123,7 @@ def mix(documents: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS,
     shards = placed.groupBy("source", "shard", "quota").agg(F.sum("size").alias("shard_size"))
     shards = settle(apportion(shards, ["source"], ["shard"], "shard_size", "quota"), "mix-shards")
     blocks = F.ceil(F.col("shard_size") / block)
-    runs = shards.withColumns({"blocks": blocks, "seats": F.least(F.col("seats"), REPEATS * blocks)}).select(
+    runs = shards.withColumns({"blocks": blocks, "seats": F.least(F.col("seats"), repeats * blocks)}).select(
         F.col("source").alias("__source"),
         F.col("shard").alias("__shard"),
         "shard_size",
@@ -130,10 +139,20 @@ def mix(documents: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS,
     ).withColumn("since", F.col("upto") - F.col("size"))
 
     def overlap(first, last):
-        return F.greatest(F.lit(0), F.least("upto", last) - F.greatest("since", first))
+        start, stop = F.greatest("since", first) - F.col("since"), F.least("upto", last) - F.col("since")
+        return F.struct(start.cast("bigint").alias("start"), stop.cast("bigint").alias("end"))
 
     end = F.col("start") + F.col("run")
     straight = overlap(F.col("start") * block, F.least(F.col("shard_size"), F.least(end, F.col("blocks")) * block))
     around = overlap(F.lit(0), F.greatest(F.lit(0), end - F.col("blocks")) * block)
-    taken = F.col("passes") * F.col("size") + straight + around
-    return here.select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
+    spans = F.filter(F.array(straight, around), lambda x: x["end"] > x["start"])
+    words = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return here.withColumn("spans", spans).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("passes") * F.col("size") + words).cast("bigint").alias("taken"),
+        F.col("passes").cast("bigint").alias("passes"),
+        "spans",
+    )

@@ -52,7 +52,8 @@ def op3_exact_dedup(spark, folder):
 
 @query("op5_source_mixing", checks.MIXING)
 def op5_source_mixing(spark, folder):
-    return mixing.mix(load(spark, folder, "documents"))
+    found = mixing.mix(load(spark, folder, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op7_license_scan", checks.LICENSES)

@@ -82,6 +82,20 @@ def test_mix_reaches_targets(spark, table):
     assert {(r["doc_id"], r["taken"]) for r in got} == {(r["doc_id"], r["taken"]) for r in again}
 
 
+def test_mix_to_other_targets(table):
+    rows = [(i, "w " * (i % 50), "ab"[i % 2]) for i in range(200)]
+    out = mixing.mix(table(rows), shard_rows=40, weights=(1, 3), share=0.5, repeats=1).collect()
+    total = sum(r["size"] for r in out)
+    for k, wanted in ((0, 0.125), (1, 0.375)):
+        own = [r for r in out if r["doc_id"] % 2 == k]
+        assert own[0]["target"] == pytest.approx(wanted * total)
+        assert sum(r["taken"] for r in own) == pytest.approx(wanted * total, rel=0.05)
+    for r in out:
+        spans = sorted((s["start"], s["end"]) for s in r["spans"])
+        assert all(0 <= a < b <= r["size"] for a, b in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+        assert r["taken"] == r["passes"] * r["size"] + sum(b - a for a, b in spans)
+
+
 def test_mix_odd_rows(table, odd_rows):
     got = mixing.mix(table(odd_rows)).collect()
     assert len(got) == len(odd_rows)
