@@ -1,5 +1,6 @@
 """SQL with the results of registered queries, where it is longer than a few lines."""
 
+from grainline.llm.infill import MIDDLE, PREFIX, SEED as INFILL_SEED, SUFFIX
 from grainline.llm.licenses import TEMPLATES, THRESHOLD
 from grainline.llm.mixing import BLOCK, REPEATS, SEED, SHARD_ROWS, SHARE, WEIGHTS
 
@@ -72,3 +73,15 @@ m AS (SELECT ug.doc_id, ug.unit, tg.tid, tg.license_id, count(*) AS k FROM ug JO
 f AS (SELECT m.doc_id, m.unit, m.license_id, 2 * k / (un.n + tn.n) AS dice FROM m JOIN un ON un.doc_id = m.doc_id AND un.unit = m.unit JOIN tn ON tn.tid = m.tid),
 b AS (SELECT doc_id, arg_min(license_id, (-dice, license_id)) AS license_id, max(dice) AS dice, count(DISTINCT unit) AS n_matches FROM f WHERE dice >= {THRESHOLD} GROUP BY doc_id)
 SELECT documents.doc_id, b.license_id, b.dice, coalesce(b.n_matches, 0) AS n_matches FROM documents LEFT JOIN b ON b.doc_id = documents.doc_id"""
+
+_NUMBER = f"CAST('0x' || substr(sha256('{INFILL_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), {{}}, 8) AS BIGINT)"
+INFILL = rf"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS ls,
+  {_NUMBER.format(1)} AS h1, {_NUMBER.format(9)} AS h2, {_NUMBER.format(17)} AS h3, {_NUMBER.format(25)} AS h4 FROM documents),
+c AS (SELECT *, len(ls) AS n, least(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS a, greatest(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '{PREFIX}') OR contains(text, '{SUFFIX}') OR contains(text, '{MIDDLE}') OR h3 % 100 >= 100 THEN 'plain'
+    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT *, array_to_string(ls[1:a], '') AS prefix, array_to_string(ls[a + 1:b], '') AS middle, array_to_string(ls[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{PREFIX}' || prefix || '{SUFFIX}' || suffix || '{MIDDLE}' || middle
+    ELSE '{SUFFIX}' || suffix || '{PREFIX}' || prefix || '{MIDDLE}' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""

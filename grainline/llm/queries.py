@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from grainline.llm import backoff, chat, checks, decontaminate, exact_dedup, language, licenses, mixing, ngram_join, substrings, toxicity
+from grainline.llm import backoff, chat, checks, decontaminate, exact_dedup, infill, language, licenses, mixing, ngram_join, substrings, toxicity
 from grainline.llm.common import remainder
 from grainline.session import load
 
@@ -119,3 +119,13 @@ def op2_substring_dedup(spark, folder):
 def op8_lm_scoring(spark, folder):
     found = backoff.score(load(spark, folder, "documents"))
     return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+@query("op11_fill_in_middle", checks.INFILL)
+def op11_fill_in_middle(spark, folder):
+    found = infill.transform(load(spark, folder, "documents"), unit="line", rate=100, spm=50, seed=7)
+    restored = infill.restore(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
