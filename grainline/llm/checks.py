@@ -3,6 +3,7 @@
 from grainline.llm.infill import MIDDLE, PREFIX, SEED as INFILL_SEED, SUFFIX
 from grainline.llm.licenses import TEMPLATES, THRESHOLD
 from grainline.llm.mixing import BLOCK, REPEATS, SEED, SHARD_ROWS, SHARE, WEIGHTS
+from grainline.llm.secrets import ACCESS, ALLOWED, ASSIGN, ASSIGN_LEAST, HEX, KINDS, LIMITS, SCALE, WINDOW, most_weight
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -85,3 +86,37 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
   CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{PREFIX}' || prefix || '{SUFFIX}' || suffix || '{MIDDLE}' || middle
     ELSE '{SUFFIX}' || suffix || '{PREFIX}' || prefix || '{MIDDLE}' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
+
+def _places(name, pattern):
+    """Place and value of every match: lengths of the matches and of the texts between them, added up."""
+    quoted = pattern.replace("'", "''")
+    return f"""{name}_l AS (SELECT r, doc_id, regexp_extract_all(text, '{quoted}') AS ms, regexp_split_to_array(text, '{quoted}') AS bs FROM docs),
+{name}_u AS (SELECT r, unnest(range(1, len(ms) + 1)) AS i, ms, bs FROM {name}_l WHERE len(ms) > 0),
+{name} AS (SELECT r, i, ms[i] AS value, CAST(sum(length(ms[i]) + length(bs[i])) OVER (PARTITION BY r ORDER BY i) AS BIGINT) AS stop FROM {name}_u)"""
+
+
+_KIND_ORDER = " ".join(f"WHEN '{k}' THEN {n}" for n, k in enumerate(KINDS))
+_LISTED = f"string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, CASE kind {_KIND_ORDER} END, stop)"
+_ALLOWED = " OR ".join("regexp_matches(value, '{}')".format(p) for p in ALLOWED)
+SECRETS = rf"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+{_places("a", ASSIGN)},
+{_places("k", ACCESS)},
+{_places("h", HEX)},
+{_places("e", f"[A-Za-z0-9+/_=-]{{{WINDOW},}}")},
+c AS (SELECT r, i, value, stop - length(value) AS start, CASE WHEN regexp_full_match(value, '[0-9A-Fa-f]+') THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind
+  FROM e WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND NOT ({_ALLOWED})),
+w AS (SELECT *, unnest(range(1, length(value) - {WINDOW} + 2)) AS s FROM c),
+x AS (SELECT r, i, kind, start + s - 1 AS start, substr(value, s, {WINDOW}) AS win FROM w),
+m AS (SELECT *, list_sum(list_transform(map_values(list_histogram(string_split(win, ''))), n -> CAST(round(n * log2(n) * {SCALE}) AS BIGINT))) AS weight FROM x
+  WHERE regexp_matches(win, '[0-9]') AND regexp_matches(win, '[A-Za-z]')),
+f AS (SELECT *, CASE WHEN start > lag(start) OVER (PARTITION BY r, i ORDER BY start) + {WINDOW} THEN 1 ELSE 0 END AS fresh FROM m
+  WHERE weight <= CASE kind WHEN 'entropy_hex' THEN {most_weight(LIMITS["entropy_hex"], WINDOW)} ELSE {most_weight(LIMITS["entropy_base64"], WINDOW)} END),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY r, i ORDER BY start) AS island FROM f),
+s AS (SELECT r, 'assign' AS kind, stop - length(value) AS start, stop FROM a WHERE length(regexp_extract(value, '{ASSIGN.replace("'", "''")}', 2)) >= {ASSIGN_LEAST}
+  UNION ALL SELECT r, 'access', stop - length(value), stop FROM k UNION ALL SELECT r, 'hex', stop - length(value), stop FROM h
+  UNION ALL SELECT r, any_value(kind), min(start), max(start) + {WINDOW} FROM g GROUP BY r, i, island),
+t AS (SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  {_LISTED} FILTER (WHERE kind IN ('assign', 'access', 'hex')) AS base, {_LISTED} AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN t ON t.r = docs.r"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from grainline.llm import backoff, chat, checks, decontaminate, exact_dedup, infill, language, licenses, mixing, ngram_join, substrings, toxicity
+from grainline.llm import backoff, chat, checks, decontaminate, exact_dedup, infill, language, licenses, mixing, ngram_join, secrets, substrings, toxicity
 from grainline.llm.common import remainder
 from grainline.session import load
 
@@ -129,3 +129,15 @@ def op11_fill_in_middle(spark, folder):
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
         F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
     )
+
+
+@query("op12_secret_scan", checks.SECRETS)
+def op12_secret_scan(spark, folder):
+    found = secrets.scan(load(spark, folder, "documents"))
+    base = ("assign", "access", "hex")
+    count = lambda kind: F.size(secrets.of_kinds(F.col("spans"), (kind,))).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *(count(k) for k in base),
+        F.sha2(secrets.listed(secrets.of_kinds(F.col("spans"), base)), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
