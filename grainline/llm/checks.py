@@ -108,8 +108,9 @@ c AS (SELECT r, i, value, stop - length(value) AS start, CASE WHEN regexp_full_m
   FROM e WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND NOT ({_ALLOWED})),
 w AS (SELECT *, unnest(range(1, length(value) - {WINDOW} + 2)) AS s FROM c),
 x AS (SELECT r, i, kind, start + s - 1 AS start, substr(value, s, {WINDOW}) AS win FROM w),
-m AS (SELECT *, list_sum(list_transform(map_values(list_histogram(string_split(win, ''))), n -> CAST(round(n * log2(n) * {SCALE}) AS BIGINT))) AS weight FROM x
+n AS (SELECT r, i, kind, start, unnest(map_values(list_histogram(string_split(win, '')))) AS n FROM x
   WHERE regexp_matches(win, '[0-9]') AND regexp_matches(win, '[A-Za-z]')),
+m AS (SELECT r, i, kind, start, sum(CAST(round(n * log2(n) * {SCALE}) AS BIGINT)) AS weight FROM n GROUP BY ALL),
 f AS (SELECT *, CASE WHEN start > lag(start) OVER (PARTITION BY r, i ORDER BY start) + {WINDOW} THEN 1 ELSE 0 END AS fresh FROM m
   WHERE weight <= CASE kind WHEN 'entropy_hex' THEN {most_weight(LIMITS["entropy_hex"], WINDOW)} ELSE {most_weight(LIMITS["entropy_base64"], WINDOW)} END),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY r, i ORDER BY start) AS island FROM f),
