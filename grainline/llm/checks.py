@@ -1,5 +1,6 @@
 """SQL with the results of registered queries, where it is longer than a few lines."""
 
+from grainline.llm.divergence import LEAST_DOCUMENTS, SCALE as SHARE_SCALE, TOP
 from grainline.llm.infill import MIDDLE, PREFIX, SEED as INFILL_SEED, SUFFIX
 from grainline.llm.licenses import TEMPLATES, THRESHOLD
 from grainline.llm.mixing import BLOCK, REPEATS, SEED, SHARD_ROWS, SHARE, WEIGHTS
@@ -121,3 +122,21 @@ t AS (SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FI
   {_LISTED} FILTER (WHERE kind IN ('assign', 'access', 'hex')) AS base, {_LISTED} AS spans FROM s GROUP BY r)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN t ON t.r = docs.r"""
+
+DIVERGENCE = rf"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+x AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM x GROUP BY 1, 2 HAVING count(DISTINCT r) >= {LEAST_DOCUMENTS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM x GROUP BY 1, 2, 3),
+e AS (SELECT g.lang, g.source, k.term, k.lang_n, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT *, 1 + ({SHARE_SCALE}::HUGEINT * (n + 1)) // (sum(n) OVER w + count(*) OVER w) AS p,
+  1 + ({SHARE_SCALE}::HUGEINT * (lang_n + 1)) // (sum(lang_n) OVER w + count(*) OVER w) AS q FROM e WINDOW w AS (PARTITION BY lang, source)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b
+  ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+f AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT * FROM f WHERE part = 'pair' OR rank <= {TOP}"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from grainline.llm import backoff, chat, checks, decontaminate, exact_dedup, infill, language, licenses, mixing, ngram_join, secrets, substrings, toxicity
+from grainline.llm import backoff, chat, checks, decontaminate, divergence, exact_dedup, infill, language, licenses, mixing, ngram_join, secrets, substrings, toxicity
 from grainline.llm.common import remainder
 from grainline.session import load
 
@@ -141,3 +141,8 @@ def op12_secret_scan(spark, folder):
         F.sha2(secrets.listed(secrets.of_kinds(F.col("spans"), base)), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("op13_source_divergence", checks.DIVERGENCE)
+def op13_source_divergence(spark, folder):
+    return divergence.audit(load(spark, folder, "documents"), least=3, top=200)

@@ -33,7 +33,7 @@ def test_query(spark, db, name):
 
 def test_all_operators_are_registered():
     names = list(contract.queries())
-    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)) and "pipeline" in names
 
 
 def test_jaccard_query(spark):
