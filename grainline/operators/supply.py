@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from grainline.functions.compare import days_between, percent
 from grainline.operators.keys import any_null
+from grainline.operators.scans import in_ranges, running
 
 
 def trace(start: DataFrame, steps: list[tuple]) -> DataFrame:
@@ -70,42 +71,16 @@ def daily_balance(entries: DataFrame, keys: list[str], day: str) -> DataFrame:
     return per_day.withColumn("balance", F.sum("net_units").over(upto))
 
 
-def running_balance(entries: DataFrame, keys: list[str], day: str, entry: str, chunk: int = 100_000) -> DataFrame:
+def running_balance(entries: DataFrame, keys: list[str], day: str, entry: str, chunk: int | None = None) -> DataFrame:
     """Balance after every single entry, ordered by (day, entry number).
 
-    One window per key would put a hot key's whole history into one task. The running sum
-    is therefore split: within (key, day, chunk of entry numbers), plus the chunks before it
-    that day, plus the days before. ``entry`` is a whole number, unique within (key, day), so a
-    chunk holds at most ``chunk`` rows and a day of a key one row per chunk. Entries without
-    key, day or number have no place in the order; ``unplaced_entries`` returns them.
+    A running sum over ranges of entries: a range holds about the same number of rows whatever the entry numbers are, and
+    a hot key, or a hot day of one, is cut into many. ``chunk`` aims at so many rows a range; without it there are as many
+    ranges as shuffle partitions. ``entry`` is unique within (key, day). Entries without key, day or number have no place
+    in the order; ``unplaced_entries`` returns them.
     """
-    part = "_chunk"
-    in_chunk = Window.partitionBy(*keys, day, part).orderBy(entry)
-    rows = (
-        entries.withColumn(part, F.expr(f"`{entry}` div {chunk}"))
-        # stated up front: the joins below would add these filters to some branches only and
-        # so keep Spark from reusing one shuffle of the entries for all of them
-        .where(~any_null([*keys, day, entry, part]))
-        .withColumn("_within", F.sum("signed_units").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_last", F.lead(entry).over(in_chunk).isNull())
-    )
-    # The last running sum of a chunk is its total. Taking it from the same windowed rows lets
-    # Spark reuse their shuffle instead of computing the entries a second time.
-    totals = rows.where("_last").select(*keys, day, part, F.col("_within").alias("_total"))
-    before = (Window.unboundedPreceding, -1)
-    in_day = Window.partitionBy(*keys, day).orderBy(part).rowsBetween(*before)
-    chunks = totals.withColumn("_earlier_chunks", F.coalesce(F.sum("_total").over(in_day), F.lit(0)))
-    days = totals.groupBy(*keys, day).agg(F.sum("_total").alias("_day_total"))
-    over_days = Window.partitionBy(*keys).orderBy(day).rowsBetween(*before)
-    days = days.withColumn("_earlier_days", F.coalesce(F.sum("_day_total").over(over_days), F.lit(0)))
-    offsets = chunks.join(days, [*keys, day]).select(
-        *keys, day, part, (F.col("_earlier_chunks") + F.col("_earlier_days")).alias("_offset")
-    )
-    return (
-        rows.join(offsets, [*keys, day, part])
-        .withColumn("balance", F.col("_within") + F.col("_offset"))
-        .drop(part, "_within", "_last", "_offset")
-    )
+    ranges = max(1, entries.count() // chunk) if chunk else None
+    return running(in_ranges(entries, keys, [day, entry], ranges), keys, [day, entry], sums={"balance": "signed_units"})
 
 
 def unplaced_entries(entries: DataFrame, keys: list[str], day: str, entry: str) -> DataFrame:

@@ -402,3 +402,27 @@ PRODUCTS_SQL = """products AS (
     CASE WHEN p_size % 4 <> 0 THEN 'mg' END AS strength_unit, p_size AS pack_count,
     CAST(p_retailprice AS DECIMAL(18,2)) AS price
   FROM part)"""
+
+
+# --- customers below customers: long chains, subtrees, cycles, parents that are not there ---
+
+
+def customer_tree(spark: SparkSession, folder: str) -> DataFrame:
+    k = F.col("c_custkey")
+    parent = (
+        F.when(k % 100 == 40, k).when(k % 500 == 250, k + 1).when(k % 400 == 399, k + 10**9).when(k % 1000 == 1, F.lit(None))
+        .when(k % 37 > 1, k - 1).otherwise(F.nullif(F.expr("c_custkey div 37"), F.lit(0)))
+    )
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint")
+    return load(spark, folder, "customer").select("c_custkey", parent.alias("parent_key"), cents.alias("balance"))
+
+
+CUSTOMER_TREE_SQL = """customer_tree AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 100 = 40 THEN c_custkey WHEN c_custkey % 500 = 250 THEN c_custkey + 1
+    WHEN c_custkey % 400 = 399 THEN c_custkey + 1000000000 WHEN c_custkey % 1000 = 1 THEN NULL
+    WHEN c_custkey % 37 > 1 THEN c_custkey - 1 ELSE nullif(c_custkey // 37, 0) END AS parent, CAST(round(c_acctbal * 100) AS BIGINT) AS balance
+  FROM customer),
+placed AS (
+  SELECT k AS node, k AS root, 0 AS depth, CAST(k AS VARCHAR) AS path, CASE WHEN parent IS NULL THEN 'root' ELSE 'orphan' END AS state
+  FROM customer_tree WHERE parent IS NULL OR parent NOT IN (SELECT k FROM customer_tree)
+  UNION ALL SELECT t.k, placed.root, placed.depth + 1, placed.path || '/' || t.k, 'below' FROM placed JOIN customer_tree t ON t.parent = placed.node)"""

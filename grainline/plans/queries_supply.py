@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from grainline.operators import supply
+from grainline.operators import flows, hierarchy, sequences, supply
 from grainline.plans import inputs as i
 from grainline.plans.registry import query
 from grainline.session import load
@@ -278,3 +278,134 @@ def role_playing_join(spark, folder):
     return named.groupBy("source_n_name", "target_n_name").agg(
         F.sum("move_count").alias("move_count"), F.sum("units").alias("units")
     )
+
+
+@query(
+    "hierarchy_paths",
+    f"""WITH RECURSIVE {i.CUSTOMER_TREE_SQL},
+    reach AS (SELECT k AS start, parent AS node FROM customer_tree WHERE k NOT IN (SELECT node FROM placed)
+      UNION SELECT reach.start, t.parent FROM reach JOIN customer_tree t ON t.k = reach.node),
+    ring AS (SELECT start FROM reach WHERE start = node),
+    rings AS (SELECT start, min(node) AS root FROM reach WHERE node IN (SELECT start FROM ring) GROUP BY 1)
+    SELECT node, root, depth, path, state FROM placed
+    UNION ALL SELECT start, root, NULL, NULL, CASE WHEN start IN (SELECT start FROM ring) THEN 'cycle' ELSE 'circling' END FROM rings""",
+)
+def hierarchy_paths(spark, folder):
+    """Root, depth and path of every customer of a tree of any depth; cycles as rows of their own."""
+    return hierarchy.paths(i.customer_tree(spark, folder), "c_custkey", "parent_key")
+
+
+@query(
+    "hierarchy_subtrees",
+    f"""WITH RECURSIVE {i.CUSTOMER_TREE_SQL},
+    above AS (SELECT node AS ancestor, node, 0 AS distance FROM placed
+      UNION ALL SELECT p.k, above.node, distance + 1 FROM above JOIN customer_tree t ON t.k = above.ancestor JOIN customer_tree p ON p.k = t.parent)
+    SELECT ancestor AS node, count(*) AS subtree_nodes, max(distance) AS height, CAST(sum(balance) AS BIGINT) AS balance
+    FROM above JOIN customer_tree t ON t.k = above.node GROUP BY 1""",
+)
+def hierarchy_subtrees(spark, folder):
+    return hierarchy.subtree_totals(i.customer_tree(spark, folder), "c_custkey", "parent_key", {"balance": "balance"})
+
+
+@query(
+    "fifo_consumption",
+    """WITH lines AS (SELECT l_partkey AS product_id, s_nationkey AS plant_id, l_orderkey * 8 + l_linenumber AS id, CAST(l_shipdate AS DATE) AS day,
+      l_returnflag, l_linestatus, CAST(l_quantity AS BIGINT) AS units FROM lineitem JOIN supplier ON s_suppkey = l_suppkey),
+    s AS (SELECT product_id, plant_id, id, sum(units) AS units, sum(sum(units)) OVER (PARTITION BY product_id, plant_id ORDER BY day, id) AS high
+      FROM lines WHERE l_returnflag <> 'R' GROUP BY product_id, plant_id, day, id),
+    u AS (SELECT product_id, plant_id, id, sum(units) AS units, sum(sum(units)) OVER (PARTITION BY product_id, plant_id ORDER BY id, day) AS high
+      FROM lines WHERE l_linestatus = 'F' GROUP BY product_id, plant_id, day, id),
+    st AS (SELECT product_id, plant_id, max(high) AS total FROM s GROUP BY 1, 2), ut AS (SELECT product_id, plant_id, max(high) AS total FROM u GROUP BY 1, 2),
+    m AS (SELECT s.product_id, s.plant_id, s.id AS allocation_id, u.id AS movement_id, least(s.high, u.high) - greatest(s.high - s.units, u.high - u.units) AS units
+        FROM s JOIN u ON s.product_id = u.product_id AND s.plant_id = u.plant_id
+      UNION ALL SELECT s.product_id, s.plant_id, s.id, NULL, s.high - greatest(s.high - s.units, coalesce(ut.total, 0))
+        FROM s LEFT JOIN ut ON s.product_id = ut.product_id AND s.plant_id = ut.plant_id
+      UNION ALL SELECT u.product_id, u.plant_id, NULL, u.id, u.high - greatest(u.high - u.units, coalesce(st.total, 0))
+        FROM u LEFT JOIN st ON u.product_id = st.product_id AND u.plant_id = st.plant_id)
+    SELECT product_id, plant_id, allocation_id, movement_id, CAST(units AS BIGINT) AS units FROM m WHERE units > 0""",
+)
+def fifo_consumption(spark, folder):
+    """Which finished line consumed which allocated line of the same product and plant, first in first out."""
+    plants = load(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("plant_id"))
+    lines = load(spark, folder, "lineitem").join(plants, "l_suppkey").select(
+        F.col("l_partkey").alias("product_id"), "plant_id", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        F.col("l_shipdate").cast("date").alias("day"), "l_returnflag", "l_linestatus", F.col("l_quantity").cast("bigint").alias("units"),
+    )
+    merged = lambda rows, name: rows.groupBy("product_id", "plant_id", "day", F.col("id").alias(name)).agg(F.sum("units").alias("units"))
+    return flows.fifo(
+        merged(lines.where("l_returnflag <> 'R'"), "allocation_id"), merged(lines.where("l_linestatus = 'F'"), "movement_id"),
+        ["product_id", "plant_id"], "allocation_id", ["day"], "units", "movement_id", ["movement_id", "day"], "units",
+    )
+
+
+def _spread_sql(name, here, source, target, links):
+    """SQL of one level of recalled units: ``links`` has source, target and weight ``w``."""
+    on = " AND ".join(f"h.{c} = p.{c}" for c in source)
+    src, tgt, ptgt = ", ".join(f"p.{c}" for c in source), ", ".join(target), ", ".join(f"p.{c}" for c in target)
+    both = ", ".join(dict.fromkeys([*source, *target]))
+    return f"""{name}_p AS (SELECT {both}, CAST(sum(w) AS HUGEINT) AS w FROM ({links}) GROUP BY {both}),
+    {name}_c AS (SELECT p.*, h.units AS held, sum(p.w) OVER (PARTITION BY {src} ORDER BY {ptgt}) AS upto, sum(p.w) OVER (PARTITION BY {src}) AS total
+      FROM {name}_p p JOIN {here} h ON {on}),
+    {name} AS (SELECT {tgt}, CAST(sum(held * upto // total - held * (upto - w) // total) AS HUGEINT) AS units FROM {name}_c GROUP BY {tgt})"""
+
+
+RECALL_LINKS = "SELECT l_suppkey, l_partkey, l_orderkey, l_quantity::BIGINT AS w FROM lineitem"
+
+
+@query(
+    "recall_units",
+    f"""WITH {i.ORDERS_NULLABLE_SQL}, maker AS (SELECT s_suppkey AS l_suppkey, CAST(1000 + s_suppkey % 97 AS HUGEINT) AS units FROM supplier WHERE s_acctbal < 0),
+    {_spread_sql("batch", "maker", ["l_suppkey"], ["l_partkey", "l_suppkey"], RECALL_LINKS)},
+    {_spread_sql("line", "batch", ["l_partkey", "l_suppkey"], ["l_orderkey"], RECALL_LINKS)},
+    {_spread_sql("cust", "line", ["l_orderkey"], ["o_custkey"], "SELECT o_orderkey AS l_orderkey, o_custkey, 1 AS w FROM orders_nullable WHERE o_custkey IS NOT NULL")}
+    SELECT 'manufacturer' AS level, CAST(l_suppkey AS VARCHAR) AS entity, CAST(units AS BIGINT) AS units,
+      CAST(CASE WHEN l_suppkey IN (SELECT l_suppkey FROM lineitem) THEN 0 ELSE units END AS BIGINT) AS stopped FROM maker
+    UNION ALL SELECT 'batch', l_partkey || '/' || l_suppkey, CAST(units AS BIGINT), 0 FROM batch
+    UNION ALL SELECT 'order', CAST(l_orderkey AS VARCHAR), CAST(units AS BIGINT),
+      CAST(CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders_nullable WHERE o_custkey IS NOT NULL) THEN 0 ELSE units END AS BIGINT) FROM line
+    UNION ALL SELECT 'customer', CAST(o_custkey AS VARCHAR), CAST(units AS BIGINT), 0 FROM cust""",
+)
+def recall_units(spark, folder):
+    """Units of manufacturers with a negative balance, split over batches, orders and customers by quantity."""
+    makers = load(spark, folder, "supplier").where("s_acctbal < 0").select("s_suppkey", (F.lit(1000) + F.col("s_suppkey") % 97).alias("units"))
+    lines = load(spark, folder, "lineitem").withColumn("units", F.col("l_quantity").cast("bigint"))
+    orders = i.orders_nullable(spark, folder).withColumn("one", F.lit(1))
+    found = flows.recall_units(
+        makers,
+        [
+            (lines, "l_suppkey", ["l_partkey", "l_suppkey"], "units", "batch"),
+            (lines, ["l_partkey", "l_suppkey"], "l_orderkey", "units", "order"),
+            (orders, "o_orderkey", "o_custkey", "one", "customer"),
+        ],
+    )
+    return found.withColumn("level", F.when(F.col("level") == "start", "manufacturer").otherwise(F.col("level")))
+
+
+# The steps a visitor may take; None before the first.
+VISITS = [
+    (None, "signup"), (None, "view"), ("signup", "view"), ("view", "view"), ("view", "click"), ("click", "view"), ("click", "purchase"),
+    ("purchase", "view"), ("error", "view"), ("view", "error"), ("click", "error"),
+]
+STEPS_SQL = """steps AS (SELECT user_id, ts, event_id, event_type, lag(ts) OVER w AS previous_ts, lag(event_id) OVER w AS previous_event_id,
+  lag(event_type) OVER w AS previous_event_type FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
+_VISITS_SQL = ", ".join("({}, '{}')".format("'-'" if a is None else f"'{a}'", b) for a, b in VISITS)
+
+
+def _event_steps(spark, folder):
+    return sequences.steps(load(spark, folder, "events"), "user_id", ["ts", "event_id"], "event_type", [])
+
+
+@query("illegal_transitions", f"WITH {STEPS_SQL} SELECT user_id, event_id, event_type, previous_event_id, previous_event_type FROM steps WHERE (coalesce(previous_event_type, '-'), event_type) NOT IN ({_VISITS_SQL})")
+def illegal_transitions(spark, folder):
+    """Events that may not follow the event before them, with both."""
+    found = sequences.illegal_steps(_event_steps(spark, folder), VISITS, "event_type")
+    return found.select("user_id", "event_id", "event_type", "previous_event_id", "previous_event_type")
+
+
+@query(
+    "transition_counts",
+    f"""WITH {STEPS_SQL} SELECT previous_event_type, event_type, count(*) AS step_count,
+    (coalesce(previous_event_type, '-'), event_type) IN ({_VISITS_SQL}) AS legal FROM steps GROUP BY 1, 2""",
+)
+def transition_counts(spark, folder):
+    return sequences.transition_counts(_event_steps(spark, folder), VISITS, "event_type")
