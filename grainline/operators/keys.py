@@ -46,6 +46,15 @@ def key_profile(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def repeated_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Total rows, distinct keys and rows beyond the first of each key, where a key with NULLs is a key like any other."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return per_key.agg(
+        total.alias("total_rows"), F.count(F.lit(1)).alias("distinct_keys"), (total - F.count(F.lit(1))).alias("surplus_rows")
+    )
+
+
 def null_key_breakdown(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     return df.where(any_null(keys)).groupBy(*by).agg(F.count(F.lit(1)).alias("null_count"))
 
@@ -99,6 +108,16 @@ def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def rows_per_value(df: DataFrame, column: str) -> DataFrame:
+    """All rows, NULLs included, per distinct value that is not NULL."""
+    per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return per_value.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.count(column).alias("distinct_values"),
+        F.round(F.try_divide(F.sum("n"), F.count(column)), 4).alias("avg_rows"),
+    )
+
+
 def repeated_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     """Column combinations without NULL that occur on more than one row."""
     return duplicate_keys(df, columns).withColumnRenamed("occurrence_count", "row_count")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grainline.functions.compare import percent
 
@@ -34,20 +35,41 @@ def reference_check(
     )
 
 
+def common_type(a: T.DataType, b: T.DataType) -> str:
+    """The type in which a key and what it refers to are compared; numbers as numbers, whatever their types."""
+    exact = {"byte": 3, "short": 5, "integer": 10, "long": 19}
+
+    def decimal(t):
+        return (t.precision, t.scale) if isinstance(t, T.DecimalType) else (exact[t.typeName()], 0) if t.typeName() in exact else None
+
+    if a == b:
+        return a.simpleString()
+    one, two = decimal(a), decimal(b)
+    if one and two:
+        scale = max(one[1], two[1])
+        return f"decimal({min(38, max(one[0] - one[1], two[0] - two[1]) + scale)},{scale})"
+    if all(decimal(t) or t.typeName() in ("float", "double") for t in (a, b)):
+        return "double"
+    moments = ("date", "timestamp", "timestamp_ntz")
+    return "timestamp_ntz" if a.typeName() in moments and b.typeName() in moments else "string"
+
+
 def reference_checks(child: DataFrame, edges: list[tuple]) -> DataFrame:
     """``reference_check`` for several keys of one table, read once.
 
-    ``edges`` holds (name, column, parent, parent column, optional). The keys are unpivoted as text and grouped by
-    (reference, key), the parents likewise, so that one join serves all of them. A table without rows has no result.
+    ``edges`` holds (name, column, parent, parent column, optional). Both sides of an edge are cast to their common type,
+    so 1 and 1.00 are the same key; then the keys are unpivoted as text and grouped by (reference, key), the parents
+    likewise, so that one join serves all of them. A table without rows has no result.
     """
-    cells = [F.struct(F.lit(n).alias("reference"), F.lit(o).alias("_o"), F.col(c).cast("string").alias("_k")) for n, c, _, _, o in edges]
+    kind = {n: common_type(child.schema[c].dataType, p.schema[pc].dataType) for n, c, p, pc, _ in edges}
+    cells = [F.struct(F.lit(n).alias("reference"), F.lit(o).alias("_o"), F.col(c).cast(kind[n]).cast("string").alias("_k")) for n, c, _, _, o in edges]
     per_key = (
         child.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
         .where(~F.col("_o") | F.col("_k").isNotNull())
         .groupBy("reference", "_k").agg(F.count(F.lit(1)).alias("_n"))
     )
     known = [
-        p.select(F.lit(n).alias("reference"), F.col(pc).cast("string").alias("_k")).where(F.col("_k").isNotNull()).distinct()
+        p.select(F.lit(n).alias("reference"), F.col(pc).cast(kind[n]).cast("string").alias("_k")).where(F.col("_k").isNotNull()).distinct()
         for n, _, p, pc, _ in edges
     ]
     parents = known[0]

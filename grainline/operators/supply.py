@@ -101,11 +101,12 @@ def plan_against_actual(
 def routing_share(orders: DataFrame, bridge: DataFrame, keys: list[str], flag: str, unmapped: str = "UNMAPPED") -> DataFrame:
     """Orders by the priority of the plant that served them. Orders are counted per key first."""
     served = orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    by_flag = (
-        served.join(bridge.select(*keys, flag), keys, "left")
-        .groupBy(F.coalesce(F.col(flag), F.lit(unmapped)).alias(flag))
-        .agg(F.sum("n").alias("order_count"))
-    )
+    return routing_totals(served.join(bridge.select(*keys, flag), keys, "left"), flag, "n", unmapped)
+
+
+def routing_totals(served: DataFrame, flag: str, count: str, unmapped: str = "UNMAPPED") -> DataFrame:
+    """``routing_share`` of orders that are counted already, next to the flag of their plant."""
+    by_flag = served.groupBy(F.coalesce(F.col(flag), F.lit(unmapped)).alias(flag)).agg(F.sum(count).alias("order_count"))
     # one row per flag value reaches this window
     return by_flag.withColumn("share_pct", percent(F.col("order_count"), F.sum("order_count").over(Window.partitionBy())))
 

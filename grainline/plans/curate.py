@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from grainline.operators.business import business_rules
 from grainline.operators.curation import conversion_rules, convert, table_rules
+from grainline.operators.drift import drift
 from grainline.operators.keys import duplicate_rows, key_profile
 from grainline.operators.references import orphan_rows, reference_check
 from grainline.operators.rules import Rule, broken_ids, evaluate_tagged
@@ -46,12 +47,12 @@ class Staged:
 
 
 def stage(
-    raw: DataFrame, spec: TableSpec, path: str, expected: DataFrame, max_records: int = MAX_RECORDS_PER_FILE
+    raw: DataFrame, spec: TableSpec, path: str, expected: DataFrame, max_records: int = MAX_RECORDS_PER_FILE, keep: tuple[str, ...] = ()
 ) -> Staged:
-    """Write the typed rows together with the ids of the rules each one breaks."""
+    """Write the typed rows together with the ids of the rules each one breaks, and further columns as they are."""
     rules = table_rules(spec) + conversion_rules(spec) + business_rules(spec)
     projected = raw.select(
-        *[convert(c, spec).alias(c.name) for c in spec.columns], broken_ids(rules).alias(BROKEN)
+        *[convert(c, spec).alias(c.name) for c in spec.columns], *keep, broken_ids(rules).alias(BROKEN)
     )
     placed = by_partition(projected, list(spec.partitions)) if spec.partitions else projected
     writer = placed.write.option("maxRecordsPerFile", max_records).option("compression", "snappy")
@@ -169,25 +170,47 @@ def curate(
     return results
 
 
-def read_curated(spark: SparkSession, target: str, spec: TableSpec) -> DataFrame:
+def attempt_paths(root: str, attempts: list[str]) -> list[str]:
+    return [f"{root}/attempt={a}" for a in sorted(set(attempts))]
+
+
+def latest_attempts(spark: SparkSession, target: str, spec: TableSpec, done: DataFrame) -> DataFrame:
+    """(labels, _attempt): the attempt of the latest run per partition, or of the table."""
+    labels = list(spec.partitions)
+    if labels:
+        kinds = ", ".join(f"{n} string" for n in labels)
+        root = f"{target}/partitions/{spec.name}"
+        # one name per committed run; the folders of failed attempts are not looked at
+        paths = attempt_paths(root, [r.attempt for r in done.select("attempt").distinct().collect()])
+        kept = spark.read.schema(f"{kinds}, attempt string").option("basePath", root).parquet(*paths)
+        done = kept.join(done, "attempt")
+    return done.groupBy(*labels).agg(F.max_by("attempt", "logged_at").alias("_attempt"))
+
+
+def read_curated(spark: SparkSession, target: str, spec: TableSpec, as_of: str | None = None) -> DataFrame:
     """The published rows of a table: for each partition, those of its latest COMMITTED run; labels stay text.
 
-    A table without partitions is replaced as a whole. Before the first commit there are no rows.
+    ``as_of`` names a run: the table as it was after that run. A table without partitions is replaced as a whole. Before
+    the first commit there are no rows. Only the folders of attempts that hold a published partition are read.
     """
-    done = ledger.read(spark, f"{target}/ledger").where(
-        (F.col("table_name") == spec.name) & (F.col("status") == ledger.COMMITTED)
-    ).select(F.col("detail").alias("attempt"), "logged_at")
-    labels = list(spec.partitions)
-    if not done.isEmpty():
-        stored = spark.read.schema(f"{spec.schema.simpleString()[7:-1].replace(':', ' ')}, attempt string")
-        rows = stored.parquet(f"{target}/tables/{spec.name}")
-        if labels:
-            kinds = ", ".join(f"{n} string" for n in labels)
-            kept = spark.read.schema(f"{kinds}, attempt string").parquet(f"{target}/partitions/{spec.name}")
-            done = kept.join(done, "attempt")
-        latest = done.groupBy(*labels).agg(F.max_by("attempt", "logged_at").alias("_attempt"))
-        same = rows["attempt"] == latest["_attempt"]
-        for n in labels:
-            same = same & rows[n].eqNullSafe(latest[n])
-        return rows.join(latest, same, "left_semi").select(*spec.names)
-    return spark.createDataFrame([], spec.schema)
+    done = ledger.committed(spark, f"{target}/ledger", spec.name, as_of)
+    if done.isEmpty():
+        return spark.createDataFrame([], spec.schema)
+    latest = latest_attempts(spark, target, spec, done)
+    root = f"{target}/tables/{spec.name}"
+    paths = attempt_paths(root, [r._attempt for r in latest.select("_attempt").distinct().collect()])
+    if not paths:
+        return spark.createDataFrame([], spec.schema)
+    stored = spark.read.schema(f"{spec.schema.simpleString()[7:-1].replace(':', ' ')}, attempt string")
+    rows = stored.option("basePath", root).parquet(*paths)
+    same = rows["attempt"] == latest["_attempt"]
+    for n in spec.partitions:
+        same = same & rows[n].eqNullSafe(latest[n])
+    return rows.join(latest, same, "left_semi").select(*spec.names)
+
+
+def publication_drift(spark: SparkSession, target: str, spec: TableSpec, run_id: str, columns: list[str], **limits) -> DataFrame:
+    """``drift`` of what a run published against the run before it in the ledger; the first run is all NEW."""
+    before = ledger.previous_run(spark, f"{target}/ledger", spec.name, run_id)
+    old = read_curated(spark, target, spec, as_of=before) if before else spark.createDataFrame([], spec.schema)
+    return drift(old, read_curated(spark, target, spec, as_of=run_id), list(spec.partitions), columns, **limits)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
-from grainline.operators import keys, profiling, references, scorecard
+from grainline.operators import key_search, keys, profiling, references, scorecard
 from grainline.plans import inputs as i
 from grainline.plans.registry import query
 from grainline.session import load
@@ -145,9 +147,26 @@ def composite_distinct(spark, folder):
     count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS surplus_rows FROM lineitem""",
 )
 def composite_grain(spark, folder):
-    return keys.key_profile(load(spark, folder, "lineitem"), LINE_KEY).select(
-        "total_rows", "distinct_keys", "surplus_rows"
-    )
+    return keys.repeated_rows(load(spark, folder, "lineitem"), LINE_KEY)
+
+
+@query(
+    "repeated_rows_with_nulls",
+    f"""{NULLABLE} SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys, CAST(sum(n) - count(*) AS BIGINT) AS surplus_rows
+    FROM (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders_nullable GROUP BY 1, 2)""",
+)
+def repeated_rows_with_nulls(spark, folder):
+    """Rows beyond the first of each key, where keys have NULLs."""
+    return keys.repeated_rows(i.orders_nullable(spark, folder), ["o_custkey", "o_orderpriority"])
+
+
+@query(
+    "rows_per_value",
+    f"""{NULLABLE} SELECT count(*) AS total_rows, count(DISTINCT o_custkey) AS distinct_values,
+    round(count(*)::DOUBLE / count(DISTINCT o_custkey), 4) AS avg_rows FROM orders_nullable""",
+)
+def rows_per_value(spark, folder):
+    return keys.rows_per_value(i.orders_nullable(spark, folder), "o_custkey")
 
 
 def _rows_per_key_sql(source: str, key: str) -> str:
@@ -314,6 +333,20 @@ def exactly_one_flag(spark, folder):
     )
 
 
+@query(
+    "exactly_one_main_plant",
+    f"""{PLANTS}, n AS (SELECT c_custkey, count(customer_id) AS n FROM customer
+      LEFT JOIN customer_plants ON customer_id = c_custkey AND order_lines >= 3 GROUP BY 1)
+    SELECT count(*) AS keys, count(*) FILTER (WHERE n = 0) AS without, count(*) FILTER (WHERE n = 1) AS exactly_one,
+    count(*) FILTER (WHERE n > 1) AS more_than_one FROM n""",
+)
+def exactly_one_main_plant(spark, folder):
+    """A plant that serves many lines of a customer; some customers have none, some several."""
+    return keys.exactly_one(
+        load(spark, folder, "customer"), "c_custkey", i.customer_plants(spark, folder), "customer_id", F.col("order_lines") >= 3
+    )
+
+
 @query(
     "flag_coverage",
     f"""{PLANTS} SELECT count(DISTINCT customer_id) AS all_keys,
@@ -349,3 +382,19 @@ def join_fanout(spark, folder):
     left = per_part.join(part, "p_partkey").groupBy("p_name").agg(F.sum("n").alias("left_rows"))
     right = part.groupBy("p_name").agg(F.count(F.lit(1)).alias("right_rows"))
     return keys.fanout_from_counts(left, right, "p_name")
+
+
+KEY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag"]
+_SETS = [s for n in (1, 2, 3) for s in combinations(KEY_COLUMNS, n)]
+
+
+@query(
+    "minimal_keys",
+    "WITH k AS (" + " UNION ALL ".join(
+        f"SELECT '{'+'.join(s)}' AS key_columns, {len(s)} AS size, {list(s)} AS cols, count(*) = count(DISTINCT ({', '.join(s)})) AS is_key FROM lineitem"
+        for s in _SETS
+    ) + """) SELECT key_columns, size FROM k WHERE is_key AND NOT EXISTS (SELECT 1 FROM k p WHERE p.is_key AND p.size < k.size AND list_has_all(k.cols, p.cols))""",
+)
+def minimal_keys(spark, folder):
+    """All minimal keys of the order lines up to three columns."""
+    return key_search.minimal_keys(load(spark, folder, "lineitem"), KEY_COLUMNS, 3)

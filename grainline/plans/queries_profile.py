@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grainline.functions.compare import days_between
-from grainline.operators import keys, profiling, scorecard, supply
+from grainline.operators import keys, profiling, scorecard, sketches, supply
 from grainline.operators.quantiles import describe
 from grainline.plans import inputs as i
 from grainline.plans.queries_rules import ALL_TABLES
 from grainline.plans.registry import query
-from grainline.session import load
+from grainline.session import load, settle
 
 LINES = f"WITH {i.ORDER_LINES_SQL}"
 DATES = f"WITH {i.LINE_DATES_SQL}"
@@ -325,3 +325,24 @@ def top_reasons(spark, folder):
         )
         for kind in ("cancel", "return")
     ])
+
+
+SKETCHED = ["o_custkey", "o_totalprice", "o_orderpriority"]
+
+
+@query(
+    "merged_profiles",
+    f"WITH {i.ORDERS_NULLABLE_SQL} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count,
+        {f"CAST(min({c}) AS DOUBLE)" if c != "o_orderpriority" else "NULL::DOUBLE"} AS min, {f"CAST(max({c}) AS DOUBLE)" if c != "o_orderpriority" else "NULL::DOUBLE"} AS max,
+        true AS distinct_in_bound FROM orders_nullable""" for c in SKETCHED
+    ),
+)
+def merged_profiles(spark, folder):
+    """Profiles per year, written and merged without the rows; the distinct counts are checked against exact ones."""
+    orders = i.orders_nullable(spark, folder)
+    yearly = settle(sketches.profile(orders.withColumn("year", F.year("o_orderdate")), ["year"], SKETCHED), "profiles")
+    found = sketches.estimates(sketches.merged(yearly, []))
+    exact = keys.candidate_keys(orders, SKETCHED).select("column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.ceil(F.col("exact") * sketches.DISTINCT_ERROR)
+    return found.join(exact, "column_name").select("column_name", "row_count", "null_count", "min", "max", near.alias("distinct_in_bound"))

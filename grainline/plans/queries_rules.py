@@ -253,6 +253,19 @@ def numeric_bounds(spark, folder):
     ])
 
 
+CLEARANCE_SQL = """WITH clearance AS (SELECT CASE WHEN p_size > 48 THEN NULL WHEN p_size > 40 THEN 0 ELSE p_retailprice - 1200 END AS p_retailprice,
+  p_size - 5 AS p_size FROM part)"""
+
+
+@query("numeric_bounds_clearance", rule_sql("clearance", "clearance", BOUNDS_SQL["part"], CLEARANCE_SQL))
+def numeric_bounds_clearance(spark, folder):
+    """Parts at clearance prices and short of units: every bound is broken by some row."""
+    size = F.col("p_size")
+    price = F.when(size > 48, F.lit(None)).when(size > 40, F.lit(0)).otherwise(F.col("p_retailprice") - 1200)
+    rows = load(spark, folder, "part").select(price.alias("p_retailprice"), (size - 5).alias("p_size"))
+    return evaluate(rows, bound_rules()[0], "clearance")
+
+
 # --- scorecards -----------------------------------------------------------------------
 
 

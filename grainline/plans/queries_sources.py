@@ -13,6 +13,8 @@ from grainline.operators.curation import conversion_rules, table_rules
 from grainline.operators.rules import evaluate
 from grainline.plans import inputs as i
 from grainline.plans.curate import curate, read_curated
+from grainline.plans.curate import publication_drift as drift_of_run
+from grainline.plans.incremental import curate_incremental, read_incremental
 from grainline.plans.queries_cleaning import CONVERSION_SQL, RAW, TABLE_SQL, rule_sql
 from grainline.plans.registry import query
 from grainline.session import load, scratch
@@ -99,9 +101,9 @@ def union_yearly_exports(spark, folder):
     return delimited.union_drifting([spark.read.parquet(f"{path}/y={y}").select(*columns) for y in sorted(years)])
 
 
-def _drifting_exports(spark: SparkSession, folder: str) -> str:
+def _drifting_exports(spark: SparkSession, folder: str, path: str | None = None, condition: str = "true") -> str:
     """Yearly CSV exports below one folder; older ones lack ``priority``, the newest adds ``channel`` and moves columns."""
-    path = scratch(spark, "drift")
+    path, delivered = path or scratch(spark, "drift"), condition
     e = delimited.normalize_columns(_export(spark, folder)).drop("month")
     base = ["order_key", "customer_key", "status", "total_price", "order_date"]
     parts = [
@@ -111,7 +113,7 @@ def _drifting_exports(spark: SparkSession, folder: str) -> str:
     ]
     e = e.withColumn("channel", F.concat(F.lit("ch-"), "status"))
     for condition, columns in parts:
-        e.where(condition).select(*columns, "year").hint("rebalance", "year").write.mode("append").partitionBy(
+        e.where(condition).where(delivered).select(*columns, "year").hint("rebalance", "year").write.mode("append").partitionBy(
             "year"
         ).option("header", True).csv(path)
     return path
@@ -140,6 +142,52 @@ def curated_publication(spark, folder):
     return read_curated(spark, target, EXPORT_SPEC).withColumn("total_price", F.col("total_price").cast("double"))
 
 
+PUBLISHED_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CAST(o_custkey AS INTEGER) AS customer_key, o_orderstatus AS status, o_totalprice AS total_price,
+    CAST(o_orderdate AS DATE) AS order_date, CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS priority,
+    CASE WHEN year(o_orderdate) > 2000 THEN 'ch- ' || o_orderstatus END AS channel, strftime(o_orderdate, '%Y') AS year FROM orders"""
+
+
+@query("incremental_publication", PUBLISHED_SQL)
+def incremental_publication(spark, folder):
+    """Two deliveries into one folder; the second run reads only the files of the second."""
+    target, root = scratch(spark, "increments"), scratch(spark, "deliveries")
+    for run, years in (("run-1", "year < '1997'"), ("run-2", "year >= '1997'")):
+        _drifting_exports(spark, folder, root, years)
+        curate_incremental(spark, [EXPORT_SPEC], {EXPORT_SPEC.name: root}, target, run)
+    return read_incremental(spark, target, EXPORT_SPEC).withColumn("total_price", F.col("total_price").cast("double"))
+
+
+@query("publication_as_of", f"SELECT * FROM ({PUBLISHED_SQL}) WHERE year < '1997'")
+def publication_as_of(spark, folder):
+    """The table as the first of two runs left it."""
+    target = scratch(spark, "curated")
+    for run, years in (("run-1", "year < '1997'"), ("run-2", "year >= '1996'")):
+        curate(spark, [EXPORT_SPEC], {EXPORT_SPEC.name: _drifting_exports(spark, folder, condition=years)}, target, run)
+    return read_curated(spark, target, EXPORT_SPEC, as_of="run-1").withColumn("total_price", F.col("total_price").cast("double"))
+
+
+# The second delivery lacks the finished orders of one year and all orders of another.
+SECOND = "not (year = '1996' and trim(status) = 'F') and year <> '1994'"
+
+
+@query(
+    "publication_drift",
+    """WITH o AS (SELECT strftime(o_orderdate, '%Y') AS year, o_orderstatus AS status, CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS priority FROM orders),
+    v AS (SELECT year, unnest(['status', 'priority']) AS column_name, unnest([status, priority]) AS value, year <> '1996' OR status <> 'F' AS kept FROM o),
+    c AS (SELECT year, column_name, value, count(*) AS b, CASE WHEN year = '1994' THEN count(*) ELSE count(*) FILTER (WHERE kept) END AS a FROM v GROUP BY 1, 2, 3),
+    t AS (SELECT *, sum(b) OVER w AS nb, sum(a) OVER w AS na FROM c WINDOW w AS (PARTITION BY year, column_name)),
+    d AS (SELECT year, column_name, CAST(nb AS BIGINT) AS rows_before, CAST(na AS BIGINT) AS rows_after, round(100.0::DOUBLE * (na - nb) / nb, 4) AS change_pct,
+      round(sum(abs(b * na - a * nb))::DOUBLE / (2.0::DOUBLE * nb * na), 6) AS distance FROM t GROUP BY year, column_name, nb, na)
+    SELECT *, CASE WHEN abs(change_pct) > 20 THEN 'COUNT DRIFT' WHEN distance > 0.1 THEN 'VALUE DRIFT' ELSE 'STABLE' END AS status FROM d""",
+)
+def publication_drift(spark, folder):
+    """What the second of two runs changed, per year: a year not delivered again stays as it was."""
+    target = scratch(spark, "curated")
+    for run, delivered in (("run-1", "true"), ("run-2", SECOND)):
+        curate(spark, [EXPORT_SPEC], {EXPORT_SPEC.name: _drifting_exports(spark, folder, condition=delivered)}, target, run)
+    return drift_of_run(spark, target, EXPORT_SPEC, "run-2", ["status", "priority"])
+
+
 @query(
     "schema_diff",
     """WITH y AS (SELECT DISTINCT strftime(o_orderdate, '%Y') AS year FROM orders)

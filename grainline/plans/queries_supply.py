@@ -139,11 +139,8 @@ def plan_vs_actual(spark, folder):
     SELECT *, round(100::DOUBLE * order_count / CAST(sum(order_count) OVER () AS BIGINT), 4) AS share_pct FROM f""",
 )
 def routing_share(spark, folder):
-    li = load(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
-    o = load(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
-    s = load(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("plant_id"))
-    served = li.join(o, "l_orderkey").join(s, "l_suppkey")
-    return supply.routing_share(served, i.customer_plants(spark, folder), ["customer_id", "plant_id"], "priority_flag")
+    """The mapping counts the lines of each customer and plant, which is what is to be shared out."""
+    return supply.routing_totals(i.customer_plants(spark, folder), "priority_flag", "order_lines")
 
 
 @query(

@@ -186,12 +186,15 @@ def union_drifting(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_raw(spark: SparkSession, root: str, spec: TableSpec, pattern: str = "*.csv") -> DataFrame:
+def read_raw(
+    spark: SparkSession, root: str | list[str], spec: TableSpec, pattern: str = "*.csv", file_column: str | None = None
+) -> DataFrame:
     """All files of a table as text, matched by column name rather than by position, in one scan.
 
     Every non-empty file below ``root`` that the pattern matches is read, whatever its depth; a
     file outside its partition folders has NULL labels, which the gate reports. A missing nullable column of a fact becomes NULL; a missing required column fails. New
-    columns are kept out of the result for facts and fail for dimensions.
+    columns are kept out of the result for facts and fail for dimensions. ``root`` may be a list of files; ``file_column``
+    adds the file of each row, as Spark names it.
     """
     labels = list(spec.partitions)
     expected = [n for n in spec.names if n not in labels]
@@ -223,4 +226,5 @@ def read_raw(spark: SparkSession, root: str, spec: TableSpec, pattern: str = "*.
         rows = rows.withColumn("header", F.lit(next(iter(layouts))))
     else:
         rows = rows.join(headers.select("file", "header"), "file")
-    return rows.select(*[(_label(F.col("file"), n) if n in labels else place(n)).alias(n) for n in spec.names])
+    named = [F.col("file").alias(file_column)] if file_column else []
+    return rows.select(*[(_label(F.col("file"), n) if n in labels else place(n)).alias(n) for n in spec.names], *named)

@@ -49,6 +49,11 @@ def manifest_rows(files: DataFrame) -> DataFrame:
     return files.select("path", "size_bytes", "md5", *path_labels(F.col("path")))
 
 
+def hashed_files(files: DataFrame) -> DataFrame:
+    """(path, size_bytes, md5) of files (path, size_bytes), hashed as streams inside the tasks."""
+    return files.select("path", "size_bytes").mapInPandas(_hasher(), "path string, size_bytes bigint, md5 string")
+
+
 def file_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Path, size, MD5 and labels of every file.
 
@@ -56,7 +61,7 @@ def file_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFra
     be larger than memory or than the 2 GB a binary column holds.
     """
     files = list_files(spark, root, pattern).select("path", F.col("length").alias("size_bytes"))
-    hashed = files.mapInPandas(_hasher(), "path string, size_bytes bigint, md5 string")
+    hashed = hashed_files(files)
     # a scan plans no task for an empty file; those are found by name
     empty = all_paths(spark, root, pattern).join(files, "path", "left_anti").select(
         "path", F.lit(0).cast("bigint").alias("size_bytes"), F.md5(F.lit("")).alias("md5")

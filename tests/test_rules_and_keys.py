@@ -125,3 +125,59 @@ def test_samples_repeat(spark):
     df = spark.range(50).withColumnRenamed("id", "k")
     first, again = (rows(profiling.samples(df.repartition(n), ["k"], ["k"], 3)) for n in (2, 5))
     assert first == again and len(first) == 9
+
+
+def test_keys_of_different_number_types_are_equal(spark):
+    from decimal import Decimal
+
+    from grainline.operators.references import reference_checks
+
+    child = spark.createDataFrame([(1, 2.0, "a"), (2, 3.0, "b"), (None, None, None)], "i int, d double, s string")
+    tens = spark.createDataFrame([(Decimal("1.00"),), (Decimal("2.50"),)], "k decimal(10,2)")
+    longs = spark.createDataFrame([(2,), (4,)], "k bigint")
+    names = spark.createDataFrame([("a",)], "k string")
+    edges = [("i->k", "i", tens, "k", True), ("d->k", "d", longs, "k", False), ("s->k", "s", names, "k", True)]
+    got = {r.reference: (r.checked_rows, r.orphan_rows) for r in reference_checks(child, edges).collect()}
+    assert got == {"i->k": (2, 1), "d->k": (3, 2), "s->k": (2, 1)}
+
+
+def test_repeated_rows_and_rows_per_value_as_pandas_counts_them(spark):
+    import pandas as pd
+
+    from grainline.operators import keys
+
+    data = [(1, None), (1, None), (1, "x"), (None, "x"), (None, "x"), (None, None)]
+    frame = pd.DataFrame(data, columns=["a", "b"])
+    df = spark.createDataFrame(data, "a int, b string")
+    found = keys.repeated_rows(df, ["a", "b"]).first()
+    assert (found.total_rows, found.surplus_rows) == (6, int(frame.duplicated().sum())) and found.distinct_keys == 4
+    per = keys.rows_per_value(df, "a").first()
+    assert per.avg_rows == len(frame) / frame["a"].nunique()
+    assert keys.rows_per_value(df.limit(0), "a").first().avg_rows is None
+
+
+def test_order_rules(spark):
+    from grainline import catalog
+    from grainline.operators.business import order_rules
+    from grainline.operators.rules import evaluate
+
+    good = dict(
+        order_qty=10, floor_price=8.0, mrp=12.0, order_price=100.0, net_line_amount=100.0, gst_rate=12.0, gst_amount=12.0, total_line_amount_incl_gst=112.0,
+        batch_id="B1", delivery_qty=10, invoice_qty=10, line_status="Invoiced", order_date="2022-01-05", actual_delivery_date="2022-01-07",
+        invoice_date="2022-01-08", order_year=2022,
+    )
+    changes = {
+        None: {}, "price_bounds": dict(order_price=127.0), "tax_recomputed": dict(gst_amount=13.0, total_line_amount_incl_gst=113.0),
+        "total_recomputed": dict(total_line_amount_incl_gst=120.0), "delivery_without_batch": dict(batch_id=None),
+        "batch_without_delivery": dict(delivery_qty=None, invoice_qty=None), "ordered_but_delivered": dict(line_status="Ordered"),
+        "delivered_without_quantity": dict(line_status="Delivered", delivery_qty=0, invoice_qty=0, batch_id=None),
+        "invoiced_beyond_delivery": dict(invoice_qty=11), "delivery_before_order": dict(actual_delivery_date="2022-01-04"),
+        "invoice_before_delivery": dict(invoice_date="2022-01-06"), "order_year": dict(order_year=2023),
+    }
+    for wanted, change in changes.items():
+        row = {**good, **change}
+        values = [F.lit(row.get(c.name)).cast(c.type).alias(c.name) for c in catalog.ORDERS.columns]
+        found = evaluate(spark.range(1).select(*values), order_rules(), "orders").where("violations > 0").collect()
+        assert [r.rule_id for r in found] == ([wanted] if wanted else []), wanted
+    missing = [F.lit(None).cast(c.type).alias(c.name) for c in catalog.ORDERS.columns]
+    assert evaluate(spark.range(1).select(*missing), order_rules(), "orders").where("violations > 0").count() == 0
