@@ -9,15 +9,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grainline.session import scratch
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _counted(df: DataFrame, columns: list[str], weight: str | None) -> DataFrame:
+def exact_type(df: DataFrame, columns: list[str]) -> str:
+    """A decimal that holds every value of whole-number and decimal columns as it is."""
+    digits = {"byte": (3, 0), "short": (5, 0), "integer": (10, 0), "long": (19, 0)}
+    sizes = []
+    for c in columns:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, T.DecimalType) and kind.typeName() not in digits:
+            raise TypeError(f"{c}: {kind.simpleString()} has no exact decimal type")
+        sizes.append((kind.precision, kind.scale) if isinstance(kind, T.DecimalType) else digits[kind.typeName()])
+    scale = max((s for _, s in sizes), default=0)
+    whole = max((p - s for p, s in sizes), default=1)
+    if whole + scale > 38:
+        raise TypeError(f"{columns}: {whole} digits before and {scale} after the point do not fit a decimal")
+    return f"decimal({whole + scale},{scale})"
+
+
+def _counted(df: DataFrame, columns: list[str], weight: str | None, kind: str = "double") -> DataFrame:
     """Written rows (column_name, v, n, part): each value of each column once. NULL and NaN are left out."""
-    cells = [F.struct(F.lit(c).alias("column_name"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("v")) for c in columns]
+    value = lambda c: F.nanvl(F.col(c).cast(kind), F.lit(None)) if kind == "double" else F.col(c).cast(kind)
+    cells = [F.struct(F.lit(c).alias("column_name"), value(c).alias("v")) for c in columns]
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     values = df.select(w.alias("w"), F.explode(F.array(*cells)).alias("cell")).select("w", "cell.*").where(F.col("v").isNotNull())
     ranged = values.groupBy("column_name", "v").agg(F.sum("w").alias("n")).repartitionByRange("column_name", "v")
@@ -52,7 +70,19 @@ def _at_ranks(counted: DataFrame, columns: list[str], probabilities: tuple[float
     found = ranked.join(F.broadcast(wanted), "column_name").where(within("low") | within("high"))
     return found.groupBy("column_name", "probability", "share").agg(
         F.max(F.when(within("low"), F.col("v"))).alias("a"), F.max(F.when(within("high"), F.col("v"))).alias("b")
-    ).select("column_name", "probability", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))
+    ).select("column_name", "probability", _between(counted.schema["v"].dataType).alias("value"))
+
+
+def _between(kind: T.DataType):
+    """Linear interpolation between a and b; decimals gain as many digits after the point as they have room for, up to 9."""
+    a, b, share = F.col("a"), F.col("b"), F.col("share")
+    if not isinstance(kind, T.DecimalType):
+        return F.when(a == b, a).otherwise(a + (b - a) * share)
+    scale = min(kind.scale + 9, 38 - (kind.precision - kind.scale))
+    room = f"decimal({kind.precision - kind.scale + scale},{scale})"
+    # the difference alone is multiplied by a share below 1, so the larger part stays exact
+    step = ((b - a).cast("decimal(28,9)") * share.cast("decimal(10,9)")).cast(room)
+    return F.when(a == b, a.cast(room)).otherwise((a.cast(room) + step).cast(room))
 
 
 def exact_quantiles(
@@ -66,13 +96,15 @@ def exact_quantiles(
     return _at_ranks(_counted(df, columns, weight), columns, probabilities)
 
 
-def describe(df: DataFrame, columns: list[str], weight: str | None = None, digits: int | None = 4) -> DataFrame:
+def describe(df: DataFrame, columns: list[str], weight: str | None = None, digits: int | None = 4, exact: bool = False) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of each column, one row per column always.
 
     A column without values has count 0 and NULL otherwise. ``digits`` rounds the result, never the input; None keeps it.
+    Values are doubles, so whole numbers beyond 2^53 are rounded; ``exact`` takes whole-number and decimal columns only and
+    gives minimum, quartiles and maximum as decimals, unrounded (mean and deviation are doubles).
     """
-    counted = _counted(df, columns, weight)
-    rows, n, v = F.sum("n"), F.col("n"), F.col("v")
+    counted = _counted(df, columns, weight, exact_type(df, columns) if exact else "double")
+    rows, n, v = F.sum("n"), F.col("n"), F.col("v").cast("double")
     moments = counted.groupBy("column_name").agg(
         rows.alias("count"), (F.sum(n * v) / rows).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max")
     )
@@ -89,5 +121,6 @@ def describe(df: DataFrame, columns: list[str], weight: str | None = None, digit
     )
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
     out = names.join(moments, "column_name", "left").join(spread, "column_name", "left").join(quartiles, "column_name", "left")
-    shown = [F.col(c) if digits is None else F.round(c, digits).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
+    kept = ("min", "q25", "q50", "q75", "max") if exact else ()
+    shown = [F.col(c) if digits is None or c in kept else F.round(c, digits).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
     return out.select("column_name", F.coalesce("count", F.lit(0)).alias("count"), *shown)

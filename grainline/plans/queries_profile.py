@@ -346,3 +346,21 @@ def merged_profiles(spark, folder):
     exact = keys.candidate_keys(orders, SKETCHED).select("column_name", F.col("distinct_values").alias("exact"))
     near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.ceil(F.col("exact") * sketches.DISTINCT_ERROR)
     return found.join(exact, "column_name").select("column_name", "row_count", "null_count", "min", "max", near.alias("distinct_in_bound"))
+
+
+
+@query(
+    "exact_describe",
+    """WITH v AS (SELECT 'order_ref' AS column_name, CAST(o_orderkey AS HUGEINT) * 900719925474 + o_custkey AS v FROM orders
+      UNION ALL SELECT 'price_cents', CAST(round(o_totalprice * 100) AS HUGEINT) FROM orders),
+    r AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY v) - 1 AS place, count(*) OVER (PARTITION BY column_name) - 1 AS last FROM v)
+    SELECT column_name, max(last) + 1 AS count, CAST(min(v) AS VARCHAR) AS min, CAST(max(v) AS VARCHAR) AS max,
+    CAST(max(v) FILTER (WHERE place = last // 2) + max(v) FILTER (WHERE place = (last + 1) // 2) AS VARCHAR) AS median_twice FROM r GROUP BY 1""",
+)
+def exact_describe(spark, folder):
+    """Extremes and median of whole numbers, some beyond what a double holds, as text; twice the median is whole."""
+    ref = (F.col("o_orderkey").cast("bigint") * F.lit(900719925474) + F.col("o_custkey")).alias("order_ref")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").alias("price_cents")
+    found = describe(load(spark, folder, "orders").select(ref, cents), ["order_ref", "price_cents"], exact=True)
+    text = lambda c, times=1: (F.col(c) * times).cast("decimal(38,0)").cast("string")
+    return found.select("column_name", "count", text("min").alias("min"), text("max").alias("max"), text("q50", 2).alias("median_twice"))

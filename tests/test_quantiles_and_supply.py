@@ -122,3 +122,17 @@ def test_hierarchy_keeps_roots(spark):
     plants = spark.createDataFrame([("c", None, "Central"), ("r", "c", "Regional")], "code string, up string, kind string")
     got = rows(supply.hierarchy(plants, "code", "up", plants, "code", ["kind"]))
     assert got == [("c", None, None), ("r", "c", "Central")]
+
+
+def test_exact_describe_keeps_whole_numbers_and_decimals(spark):
+    from decimal import Decimal
+
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, Decimal("0.01")), (big + 2, Decimal("0.02")), (big + 4, None)], "a bigint, b decimal(10,2)")
+    got = {r.column_name: r for r in describe(df, ["a", "b"], exact=True).collect()}
+    assert [int(got["a"][c]) for c in ("min", "q50", "max")] == [big, big + 2, big + 4]
+    assert got["a"].q25 == big + 1 and got["b"].q50 == Decimal("0.015") and got["b"]["count"] == 2
+    assert int(describe(df, ["a"]).first()["min"]) != big
+    with pytest.raises(TypeError):
+        describe(df.withColumn("c", F.lit(1.5)), ["a", "c"], exact=True)
+    assert describe(df.limit(0), ["a"], exact=True).first()["count"] == 0
