@@ -24,15 +24,17 @@ def query(name, sql=None):
 
 @query(
     "op1_chat_formatting",
-    """WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
-    o AS (SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+    """WITH d AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+    t AS (SELECT *, CASE WHEN conv_id IS NULL THEN 'row ' || row_number() OVER () ELSE 'id ' || conv_id END AS conv FROM d),
+    o AS (SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv) AS n_turns,
       string_agg(role || chr(1) || text, chr(2)) OVER w AS prefix
-      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
-    f AS (SELECT md5(prefix) AS p, n_turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM o WHERE place = n_turns GROUP BY 1, 2),
+      FROM t WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+    f AS (SELECT md5(prefix) AS p, n_turns, min(conv_id) AS conv_id, arg_min(conv, (conv_id IS NULL, conv_id)) AS conv, count(*) AS n_copies
+      FROM o WHERE place = n_turns GROUP BY 1, 2),
     s AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.place < o.n_turns AND o.place = f.n_turns AND md5(o.prefix) = f.p))
     SELECT s.conv_id, s.n_turns, s.n_copies,
       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY place) AS rendered
-    FROM s JOIN o ON o.conv_id = s.conv_id GROUP BY 1, 2, 3""",
+    FROM s JOIN o ON o.conv = s.conv GROUP BY s.conv, 1, 2, 3""",
 )
 def op1_chat_formatting(spark, folder):
     return chat.format_chats(load(spark, folder, "conversations"))

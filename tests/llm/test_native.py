@@ -42,6 +42,28 @@ def test_chats_against_brute_force(spark, turns):
     no_python(out)
 
 
+def test_rows_without_id_are_conversations_of_their_own(spark):
+    rows = [(None, 0, "user", "hi"), (None, 5, "user", "hi"), (None, 0, "user", "hi"), (None, 1, "user", "alone"), (None, 0, None, None)]
+    rows += [(1, 0, "user", "hi"), (1, 1, "bot", "yes"), (2, 0, "user", "same"), (None, 9, "user", "same")]
+    out = chat.format_chats(spark.createDataFrame([(*t, "x", "y") for t in rows], CHATS)).collect()
+    got = sorted((str(r["conv_id"]), r["n_turns"], r["n_copies"], r["rendered"]) for r in out)
+    line = lambda r, x: f"<|im_start|>{r}\n{x}<|im_end|>\n"
+    assert got == sorted([
+        ("1", 2, 1, line("user", "hi") + line("bot", "yes")), ("2", 1, 2, line("user", "same")),
+        ("None", 1, 1, line("user", "alone")), ("None", 1, 1, line("unknown", "")),
+    ])
+
+
+def test_two_million_rows_without_id_and_a_very_long_conversation(spark):
+    rows = spark.range(2_000_000).select(
+        F.lit(None).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("t"), (F.col("id") % 1000).cast("string")).alias("text")
+    )
+    long = spark.range(600_000).select(F.lit(7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("same").alias("text"))
+    found = chat.maximal(chat.prefix_hashes(chat.turns(rows.unionByName(long))))
+    got = found.groupBy("conv_id", "n_turns").agg(F.count("*").alias("n"), F.sum("n_copies").alias("copies")).collect()
+    assert sorted((str(r["conv_id"]), r["n_turns"], r["n"], r["copies"]) for r in got) == [("7", 600_000, 1, 1), ("None", 1, 1000, 2_000_000)]
+
+
 def test_chats_of_empty_table(spark):
     assert chat.format_chats(spark.createDataFrame([], CHATS)).count() == 0
 
