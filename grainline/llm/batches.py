@@ -55,7 +55,9 @@ class Batches:
             .format("parquet")
             .saveAsTable(name)
         )
+        # the frame holds the files and their buckets; the name of the external table is not needed any more
         self.rows = spark.table(name)
+        spark.sql(f"DROP TABLE {name}")
 
     def ask(self, question, combine: str, answers: DataFrame | None, label: str) -> DataFrame:
         """Answers (level, batch, bucket, answer) to the keys and values that ``question`` makes of each batch."""
