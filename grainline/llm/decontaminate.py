@@ -23,8 +23,11 @@ THRESHOLD = 0.5
 BROADCAST_WORDS = 2_000_000
 
 
-def tile(item, text, shortest):
-    """Tiles (length, item start, text start), longest first; ties go to the smaller starts."""
+def tile(item, text, shortest, least=0):
+    """Tiles (length, item start, text start), longest first; ties go to the smaller starts.
+
+    None at all where the words of the item under runs that the text has as well, which bound the tiles, are below ``least``.
+    """
     shortest = min(shortest, len(item))
     if not shortest:
         return []
@@ -35,6 +38,13 @@ def tile(item, text, shortest):
         same.setdefault(h, []).append(p)
     where, hashed = tokens.windows(text, np.zeros(len(text), np.int8), shortest)
     seeds = np.flatnonzero(np.isin(hashed, total))
+    if least:
+        under = np.zeros(len(item) + 1, np.int64)
+        places = start[np.isin(total, hashed[seeds])]
+        np.add.at(under, places, 1)
+        np.add.at(under, places + shortest, -1)
+        if np.count_nonzero(np.cumsum(under[:-1])) < least:
+            return []
     pairs = [(p, int(where[k])) for k in seeds for p in same[int(hashed[k])]]
     found = []
     while True:
@@ -87,7 +97,7 @@ def _known(items, shortest):
     return [i for i, _ in items], split, seeds[order], owner[order], lengths
 
 
-def _coverage_of_all(known, shortest):
+def _coverage_of_all(known, shortest, threshold, item_type):
     ids, items, seeds, owner, lengths = known
 
     def run(batches):
@@ -102,10 +112,11 @@ def _coverage_of_all(known, shortest):
                         hits.update((int(found.doc[start[k]]), int(o)) for o in owner[low[k] : high[k]])
                 out = [[], [], [], []]
                 for d, o in sorted(hits):
-                    covered = sum(n for n, _, _ in tile(items[o], split[d], shortest))
-                    for column, value in zip(out, (part.column("doc_id")[d].as_py(), part.column("text_key")[d].as_py(), ids[o], covered / len(items[o]))):
-                        column.append(value)
-                kinds = (batch.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.float64())
+                    covered = sum(n for n, _, _ in tile(items[o], split[d], shortest, threshold * len(items[o])))
+                    if covered:
+                        for column, value in zip(out, (part.column("doc_id")[d].as_py(), part.column("text_key")[d].as_py(), ids[o], covered / len(items[o]))):
+                            column.append(value)
+                kinds = (batch.schema.field("doc_id").type, pa.int64(), item_type, pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "text_key", "item_id", "coverage"])
 
     return run
@@ -131,12 +142,12 @@ def _seed_rows(names, lengths):
     return run
 
 
-def _coverage_of_pairs(shortest):
+def _coverage_of_pairs(shortest, threshold):
     def run(batches):
         for batch in batches:
             for part in tokens.slices(batch):
                 items, texts = _words(part.column("item_text"))[0], _words(part.column("text"))[0]
-                covered = [sum(n for n, _, _ in tile(i, t, shortest)) / len(i) for i, t in zip(items, texts)]
+                covered = [sum(n for n, _, _ in tile(i, t, shortest, threshold * len(i))) / len(i) for i, t in zip(items, texts)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(n) for n in ("doc_id", "text_key", "item_id")), pa.array(covered, "float64")], ["doc_id", "text_key", "item_id", "coverage"]
                 )
@@ -144,31 +155,42 @@ def _coverage_of_pairs(shortest):
     return run
 
 
-def coverage(documents: DataFrame, benchmark: DataFrame, shortest: int = SEED, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+def coverage(
+    documents: DataFrame, benchmark: DataFrame, shortest: int = SEED, broadcast_words: int = BROADCAST_WORDS, threshold: float = 0.0
+) -> DataFrame:
     """doc_id, text_key, item_id, coverage per pair that shares a run of ``shortest`` words (or a whole shorter item).
 
+    With a ``threshold``, pairs that cannot reach it are not tiled: their shared runs alone cover too few words of the item;
+    they have no row or a coverage of 0. An item_id is an integer; of any other type it is taken as text.
+
     Words are runs of characters other than white space, in ASCII lower case. NULL and empty texts share nothing. Items
     that share an id are items of their own. The benchmark goes to every task only up to ``broadcast_words`` words;
     beyond that, pairs come from a shuffled join of seeds and both texts join them.
     """
     kind = dict(documents.dtypes)["doc_id"]
     docs = documents.select("doc_id", whole(F.col("text")).alias("text"), text_key(F.col("text")).alias("text_key"))
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(count_words(F.col("text")) > 0).distinct()
+    numbered = dict(benchmark.dtypes)["item_id"] in ("tinyint", "smallint", "int", "bigint")
+    item_kind = "bigint" if numbered else "string"
+    items = benchmark.select(F.col("item_id").cast(item_kind).alias("item_id"), "text").where(count_words(F.col("text")) > 0).distinct()
     chars = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    result = f"doc_id {kind}, text_key bigint, item_id bigint, coverage double"
+    result = f"doc_id {kind}, text_key bigint, item_id {item_kind}, coverage double"
     if chars <= 8 * broadcast_words:
         known = _known([(r["item_id"], r["text"]) for r in items.collect()], shortest)
-        return docs.mapInArrow(_coverage_of_all(known, shortest), result)
+        return docs.mapInArrow(_coverage_of_all(known, shortest, threshold, pa.int64() if numbered else pa.string()), result)
     lengths = [r[0] for r in items.select(F.least(count_words(F.col("text")), F.lit(shortest)).cast("int")).distinct().collect()]
-    seeds = items.mapInArrow(_seed_rows(["item_id"], [shortest]), "item_id bigint, seed bigint").distinct()
+    seeds = items.mapInArrow(_seed_rows(["item_id"], [shortest]), f"item_id {item_kind}, seed bigint").distinct()
     shared = docs.mapInArrow(_seed_rows(["doc_id", "text_key"], lengths), f"doc_id {kind}, text_key bigint, seed bigint")
-    pairs = settle(shared.join(seeds, "seed").select("doc_id", "text_key", "item_id").distinct(), "tiling-pairs")
+    # a document and an item with too few runs in common go no further; the runs of an item are at most its words
+    common = shared.join(seeds, "seed").groupBy("doc_id", "text_key", "item_id").agg(F.count("*").alias("runs"))
+    sizes = items.groupBy("item_id").agg(F.min(count_words(F.col("text"))).alias("words")).withColumnRenamed("item_id", "__item")
+    enough = common.join(sizes, F.col("item_id").eqNullSafe(F.col("__item"))).where(F.col("runs") * shortest >= F.lit(threshold) * F.col("words"))
+    pairs = settle(enough.select("doc_id", "text_key", "item_id"), "tiling-pairs")
     once = docs.dropDuplicates(["doc_id", "text_key"])
     same = pairs["doc_id"].eqNullSafe(once["doc_id"]) & (pairs["text_key"] == once["text_key"])
     texts = pairs.join(once, same).select(pairs["doc_id"], pairs["text_key"], "item_id", "text")
     known = items.select(F.col("item_id").alias("__item"), F.col("text").alias("item_text"))
     both = texts.join(known, F.col("item_id").eqNullSafe(F.col("__item"))).drop("__item")
-    return both.mapInArrow(_coverage_of_pairs(shortest), result)
+    return both.mapInArrow(_coverage_of_pairs(shortest, threshold), result)
 
 
 def findings(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -196,5 +218,5 @@ def findings(documents: DataFrame, benchmark: DataFrame, threshold: float = THRE
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents``, with all their columns, that cover no item up to the threshold."""
-    dirty = named(coverage(documents, benchmark).where(F.col("coverage") >= threshold))
+    dirty = named(coverage(documents, benchmark, threshold=threshold).where(F.col("coverage") >= threshold))
     return documents.join(dirty, same_text(documents, dirty), "left_anti")

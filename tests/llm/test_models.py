@@ -157,6 +157,27 @@ def test_large_benchmark_by_shuffle(spark, table):
     assert near == far
 
 
+@pytest.mark.parametrize("broadcast_words", [decontaminate.BROADCAST_WORDS, 0])
+def test_a_threshold_leaves_out_only_pairs_below_it(spark, table, broadcast_words):
+    rows, items = cases()
+    known = spark.createDataFrame([(f"item {i}", t) for i, t in items], "item_id string, text string")
+    for threshold in (0.3, 0.5, 0.9):
+        got = decontaminate.coverage(table(rows), known, broadcast_words=broadcast_words, threshold=threshold).where(F.col("coverage") >= threshold)
+        want = decontaminate.coverage(table(rows), known).where(F.col("coverage") >= threshold)
+        pairs = lambda df: sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in df.collect())
+        assert pairs(got) == pairs(want) and len(pairs(got)) > 3
+
+
+def test_findings_against_brute_force(spark, table):
+    rows, items = cases()
+    got = {r["doc_id"]: r for r in decontaminate.findings(table(rows), benchmark(spark, items)).collect()}
+    for i, text in rows:
+        found = [(-brute.tiling(item.lower().split(), text.lower().split(), decontaminate.SEED) / len(item.split()), k) for k, item in items]
+        best = min((x for x in found if x[0]), default=(0.0, None))
+        assert got[i]["coverage"] == pytest.approx(-best[0]) and got[i]["item_id"] == best[1]
+        assert got[i]["n_items"] == sum(-c >= decontaminate.THRESHOLD for c, _ in found)
+
+
 def test_decontaminate_odd_rows(spark, table, odd_rows):
     item = " ".join(f"w{i}" for i in range(20, 50))
     docs = table([*odd_rows, (20, "prose before " + item + " and after")])
