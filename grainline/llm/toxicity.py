@@ -2,11 +2,14 @@
 
 Features per text: densities of lexicon words (a given list, and word forms and word beginnings whose share of toxic
 training documents is high), how near they stand to a second-person word, capitals, punctuation and obfuscation rates.
-The lexicon, the trees and the calibration are learned from a bounded sample of labelled rows outside the held-out fold.
+The lexicon, the trees and the calibration are learned from a bounded sample of labelled rows outside the held-out fold, by
+cross-fitting.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,13 +26,14 @@ from grainline.llm.common import remainder, settle, whole
 
 # Bound of the fitting sample, in labelled documents.
 SAMPLE = 40_000
-# Bounds of the learned lexicons: entries each, and training documents an entry must occur in.
-LEXICON_SIZE = 5_000
+# Training documents that an entry of a learned lexicon must occur in; the sample bounds how many there are.
 LEAST_DOCUMENTS = 5
 # Lengths of the word beginnings that are learned.
 STEMS = (4, 5, 6, 7)
 LIMIT = 0.7
 TREES, DEPTH = 20, 4
+# Parts of the sample, each judged by what was learned from the others.
+PARTS = 3
 
 # Common insults.
 INSULTS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
@@ -74,7 +78,7 @@ def _entries():
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, dict[str, float]]:
-    """{form: {entry: log odds}, stem_4: ...}: the entries that mark toxic training documents most, at most LEXICON_SIZE each."""
+    """{form: {entry: log odds}, stem_4: ...}: the entries that mark toxic training documents."""
     base = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     found: dict[str, dict[str, float]] = {"form": {}, **{f"stem_{k}": {} for k in STEMS}}
     if not base["bad"] or base["bad"] == base["n"]:
@@ -85,15 +89,16 @@ def learn_lexicon(sample: DataFrame) -> dict[str, dict[str, float]]:
     )
     odds = F.log((F.col("bad") + 0.5) / (F.col("n") - F.col("bad") + 0.5)) - F.lit(prior)
     marked = counts.where((F.col("n") >= LEAST_DOCUMENTS) & (F.length("entry") > 2)).withColumn("odds", odds).where("odds > 1")
-    for kind in found:
-        top = marked.where(F.col("kind") == kind).orderBy(F.desc("odds"), F.desc("n"), "entry").limit(LEXICON_SIZE)
-        found[kind] = {r["entry"]: r["odds"] for r in top.select("entry", "odds").collect()}
+    for r in marked.select("kind", "entry", "odds").collect():
+        found[r["kind"]][r["entry"]] = r["odds"]
     return found
 
 
 def _per_word(values, table):
-    """The table's value of each string, 0 where it has none."""
-    return np.array([table.get(v, 0.0) for v in values.to_pylist()], np.float64)
+    """The table's value of each string, 0 where it has none: one lookup of all strings."""
+    weights = np.append(np.fromiter(table.values(), np.float64, len(table)), 0.0)
+    at = pc.index_in(values, value_set=pa.array(list(table), pa.string()))
+    return weights[at.fill_null(len(table)).to_numpy(zero_copy_only=False)]
 
 
 def features_of(texts: pa.Array, lexicon) -> np.ndarray:
@@ -169,9 +174,10 @@ def _raw(trees, rows):
 
 
 def labelled(documents: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, bound: int = SAMPLE) -> DataFrame:
-    """text, toxic, part of a bounded sample of labelled rows outside the held-out fold; part 0 to 4 by hash of the id.
+    """id, text, toxic, part of a bounded sample of labelled ids outside the held-out fold; part 0 to PARTS - 1 by hash of the id.
 
-    Of labels that repeat an id the larger counts; labels without a value are left out. Repeated documents count once each.
+    Of labels that repeat an id the larger counts, of documents that repeat one the smallest text; labels without a value
+    are left out. So the sample has at most about ``bound`` rows.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(remainder(F.col("__id"), modulus) != held_out)
@@ -180,24 +186,45 @@ def labelled(documents: DataFrame, labels: DataFrame, modulus: int = 3, held_out
     chosen = known.where(place * F.lit(float(n)) < bound)
     # about ``bound`` ids, so the texts need not be shuffled to meet them
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-    return rows.select(whole(F.col("text")).alias("text"), "toxic", F.pmod(F.xxhash64("doc_id", F.lit("toxic-part")), F.lit(5)).cast("int").alias("part"))
+    one = rows.groupBy(F.col("__id").alias("id")).agg(F.min(whole(F.col("text"))).alias("text"), F.first("toxic").alias("toxic"))
+    return one.withColumn("part", F.pmod(F.xxhash64("id", F.lit("toxic-part")), F.lit(PARTS)).cast("int"))
+
+
+def _trees(rows):
+    """Boosted trees on rows in the order of their ids, in one partition: at most the sample, whatever its layout was."""
+    train = _assembled(rows).select("id", "features", F.col("toxic").cast("double").alias("label")).repartition(1).sortWithinPartitions("id")
+    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7, minInstancesPerNode=5).fit(train)
+
+
+def _both(rows) -> bool:
+    return rows.agg(F.count_distinct("toxic")).first()[0] == 2
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, bound: int = SAMPLE) -> Model:
-    """Learn the lexicon on parts 0-1, the trees on 2-3 (whose texts the lexicon has not seen) and the calibration on 4."""
+    """Learn lexicon, trees and calibration from all rows of the sample, each from what it has not shaped.
+
+    A lexicon is learned from the other parts for the features of each part, so the trees learn from features as they are
+    on new texts; texts to be scored are looked up in the lexicon of all parts. The calibration sees every row with the
+    score of trees fitted on the other parts. A part of which the others hold one label alone is left out of it.
+    """
     sample = settle(labelled(documents, labels, modulus, held_out, bound), "toxic-sample")
     share = sample.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
-    lexicon = learn_lexicon(sample.where("part < 2"))
-    rows = settle(featurize(sample.where("part >= 2"), lexicon, ["toxic", "part"]), "toxic-features")
-    has = rows.agg(*(F.count_distinct(F.when(c, F.col("toxic"))) for c in (F.col("part") < 4, F.col("part") == 4))).first()
-    if has[0] < 2:
+    lexicon = learn_lexicon(sample)
+    if not _both(sample):
         return Model(lexicon, None, None, float(share))
-    train = _assembled(rows.where("part < 4")).select("features", F.col("toxic").cast("double").alias("label")).repartition(6)
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7, minInstancesPerNode=5).fit(train)
-    if has[1] < 2:
+    own = [featurize(sample.where(F.col("part") == k), learn_lexicon(sample.where(F.col("part") != k)), ["id", "toxic", "part"]) for k in range(PARTS)]
+    rows = settle(reduce(DataFrame.unionByName, own), "toxic-features")
+    trees, apart = _trees(rows), []
+    for k in range(PARTS):
+        others = rows.where(F.col("part") != k)
+        if _both(others):
+            apart.append(_raw(_trees(others), rows.where(F.col("part") == k)).select("id", "toxic", F.col("toxic").cast("double").alias("label"), "raw"))
+    if not apart:
+        return Model(lexicon, trees, None, float(share))
+    seen = settle(reduce(DataFrame.unionByName, apart), "toxic-apart").repartition(1).sortWithinPartitions("raw", "id")
+    if not _both(seen):
         return Model(lexicon, trees, None, float(share))
-    held = _raw(trees, rows.where("part = 4")).select(F.col("toxic").cast("double").alias("label"), "raw")
-    return Model(lexicon, trees, IsotonicRegression(featuresCol="raw", labelCol="label").fit(held), float(share))
+    return Model(lexicon, trees, IsotonicRegression(featuresCol="raw", labelCol="label").fit(seen), float(share))
 
 
 def _scored(rows: DataFrame, model: Model, extra: list[str]) -> DataFrame:
