@@ -8,17 +8,21 @@ empty parts repeats this with another split of the hash space, after the last of
 no link is lost.
 
 Candidates of a key form a tree, not all pairs: each block of documents keeps its smallest document as leader, and the
-leaders of the blocks meet at the smallest one. So a key of very many documents is one entry per block. Tree edges are
-verified: bit counts of hashed bitmaps bound the overlap from above, then sorted arrays are intersected. Keys with an edge
-that fails are tried again around their best connected document. What then is not in the largest component of its
-cluster of keys is compared, tile by tile, with all documents of the cluster in neighbouring bands: a tile holds a bounded
-number of shingles, and only links leave it, not pairs.
+leaders of the blocks meet at the smallest one. So a key of very many documents is one entry per block. Of its edges, a
+document is verified with the leader it shares most keys with: bit counts of hashed bitmaps bound the overlap from above,
+then sorted arrays are intersected. Keys whose documents are then in different components are open: large ones are tried
+again around their best connected document, and what is still apart is compared key by key. A linked pair has not one but many parts in common; how many follows from its sizes and
+empty parts. So the keys that two documents share are counted, and only pairs with enough are verified. Keys of very many
+documents are not counted: as many as a document has of them are taken off what it needs. Only documents that then need
+none, which are made of such keys, are compared tile by tile within their clusters: a tile holds a bounded number of
+shingles, and only links leave it, not pairs.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +38,11 @@ BUCKET_KEYS = 1_000_000
 # Shingles and documents of a side that one verifying group holds.
 GROUP_SHINGLES = 200_000
 GROUP_DOCUMENTS = 1000
+# Documents of a key up to which the keys of two documents are counted, and rows of keys that one counting group holds.
+COUNTED_DOCUMENTS = 64
+COUNTED_ROWS = 20_000
+# Rounds in which each document is verified with one other; what is then left is verified at once.
+ROUNDS = 2
 
 
 class Tiles:
@@ -120,19 +129,30 @@ def _part_keys(values, parts, need, tile, seed_first=0):
 
 def document_keys(doc, values, sizes, tiles: Tiles, known: dict):
     """(key, doc position) of all documents of a slice."""
-    keys, owner = [], []
+    return shaped_keys(doc, values, sizes, tiles, known)[:2]
+
+
+def shaped_keys(doc, values, sizes, tiles: Tiles, known: dict):
+    """(key, doc position) of all documents of a slice, and per document its band, parts and parts held in two tiles.
+
+    The tiles are that of its own band and the one before; parts are 0 where it is in none.
+    """
+    keys, owner, shape = [], [], np.zeros((5, len(sizes)), np.int64)
     ends = np.concatenate(([0], np.cumsum(sizes)))
     for d in np.flatnonzero(sizes):
         n = int(sizes[d])
         if n not in known:
             known[n] = tiles.of(n)
+        band = shape[0, d] = tiles.band(n)[0]
         for tile, parts, need in known[n]:
-            for k in _part_keys(values[ends[d] : ends[d + 1]], parts, need, tile):
+            found = _part_keys(values[ends[d] : ends[d + 1]], parts, need, tile)
+            shape[1 + 2 * (band - tile) : 3 + 2 * (band - tile), d] = parts, len(found[0])
+            for k in found:
                 keys.append(k)
                 owner.append(np.full(len(k), d))
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owner)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), shape
+    return np.concatenate(keys), np.concatenate(owner), shape
 
 
 def led(keys: np.ndarray, ids: np.ndarray):
@@ -147,13 +167,21 @@ def led(keys: np.ndarray, ids: np.ndarray):
     return keys[first], ids[first], keys[edge], leader[edge], ids[edge]
 
 
-SCAN = "kind int, doc_id bigint, n bigint, a bigint, b bigint, bucket int, keys binary, ids binary"
+SHAPE = ("band", "own_parts", "own_held", "before_parts", "before_held")
+SCAN = "kind int, doc_id bigint, n bigint, a bigint, b bigint, bucket int, keys binary, ids binary, shape array<int>"
 
 
 def _scan(size, num, den, buckets):
+    at = 0
+
     def rows(kind, **columns):
+        nonlocal at
         n = len(next(iter(columns.values())))
-        kinds = {"doc_id": pa.int64(), "n": pa.int64(), "a": pa.int64(), "b": pa.int64(), "bucket": pa.int32(), "keys": pa.binary(), "ids": pa.binary()}
+        if "bucket" not in columns:
+            # facts and finished edges travel along, spread evenly
+            columns["bucket"] = ((at + np.arange(n)) % buckets).astype(np.int32)
+            at += n
+        kinds = {"doc_id": pa.int64(), "n": pa.int64(), "a": pa.int64(), "b": pa.int64(), "bucket": pa.int32(), "keys": pa.binary(), "ids": pa.binary(), "shape": pa.list_(pa.int32())}
         arrays = [pa.array([kind] * n, "int32")]
         for name, type_ in kinds.items():
             value = columns.get(name)
@@ -179,7 +207,6 @@ def _scan(size, num, den, buckets):
                 a, b = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
                 if len(some):
                     a[some], b[some] = np.add.reduceat(values, ends[some]), np.add.reduceat(tokens.mix(values), ends[some])
-                yield rows(0, doc_id=part.column("doc_id"), n=sizes.astype(np.int64), a=a.view(np.int64), b=b.view(np.int64))
                 named = part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
                 ids = part.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
                 # equal sets are tied elsewhere; within the slice only the smallest id of a set emits keys
@@ -188,7 +215,9 @@ def _scan(size, num, den, buckets):
                 use = use[np.lexsort((ids[use], b[use], a[use]))]
                 if len(use):
                     emit[use] = np.concatenate(([True], (a[use][1:] != a[use][:-1]) | (b[use][1:] != b[use][:-1])))
-                keys, owner = document_keys(doc[emit[doc]], values[emit[doc]], np.where(emit, sizes, 0), tiles, known)
+                keys, owner, shape = shaped_keys(doc[emit[doc]], values[emit[doc]], np.where(emit, sizes, 0), tiles, known)
+                shapes = pa.array(shape.T.astype(np.int32).tolist(), pa.list_(pa.int32()))
+                yield rows(0, doc_id=part.column("doc_id"), n=sizes.astype(np.int64), a=a.view(np.int64), b=b.view(np.int64), shape=shapes)
                 held.append((keys, ids[owner]))
                 n += len(keys)
                 if n >= BLOCK_KEYS:
@@ -200,11 +229,39 @@ def _scan(size, num, den, buckets):
     return run
 
 
+FOUND = "kind int, doc_id bigint, n bigint, a bigint, b bigint, shape array<int>"
+
+
 def _bucket_edges(table: pa.Table) -> pa.Table:
-    keys = np.concatenate([unplanes(x, np.uint64) for x in table.column("keys").to_pylist()])
-    ids = np.concatenate([unplanes(x, np.int64) for x in table.column("ids").to_pylist()])
+    """The edges of the keys of a bucket, and all other rows as they are."""
+    names = [c.split()[0] for c in FOUND.split(", ")]
+    is_keys = pc.equal(table.column("kind"), 1)
+    others, packed = table.filter(pc.invert(is_keys)).select(names), table.filter(is_keys)
+    if not len(packed):
+        return others
+    keys = np.concatenate([unplanes(x, np.uint64) for x in packed.column("keys").to_pylist()])
+    ids = np.concatenate([unplanes(x, np.int64) for x in packed.column("ids").to_pylist()])
     _, _, key, parent, child = led(keys, ids)
-    return pa.table({"key": key.view(np.int64), "parent": parent, "child": child})
+    made = {"kind": np.full(len(key), 2, np.int32), "doc_id": child, "n": parent, "a": key.view(np.int64)}
+    arrays = [pa.array(made[f.name], f.type) if f.name in made else pa.nulls(len(key), f.type) for f in others.schema]
+    return pa.concat_tables([others, pa.table(arrays, schema=others.schema)])
+
+
+# Bytes of a shingle in a set that is sent to another task.
+SET_BYTES = 6
+
+
+def packed_set(values: np.ndarray) -> bytes:
+    """The first 48 bits of sorted hashes, as steps from one to the next with their bytes transposed: the high ones are few."""
+    steps = np.diff(values >> np.uint64(16), prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T[:SET_BYTES]).tobytes()
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    held = np.frombuffer(data, np.uint8).reshape(SET_BYTES, -1)
+    steps = np.zeros((held.shape[1], 8), np.uint8)
+    steps[:, :SET_BYTES] = held.T
+    return np.cumsum(steps.reshape(-1).view(np.uint64), dtype=np.uint64) << np.uint64(16)
 
 
 def _sets(size):
@@ -213,7 +270,7 @@ def _sets(size):
             for part in tokens.slices(batch):
                 _, values, sizes = shingle_sets(part.column("text"), size)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
-                arrays = [values[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])]
+                arrays = [packed_set(values[i:j]) for i, j in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(arrays, "binary")], ["doc_id", "shingles"])
 
     return run
@@ -232,7 +289,7 @@ def _compared(num, den):
     def run(table: pa.Table) -> pa.Table:
         ids, comps = (table.column(c).to_numpy() for c in ("doc_id", "c"))
         role = table.column("role").to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        sets = [unpacked_set(x) for x in table.column("shingles").to_pylist()]
         sizes = np.array([len(x) for x in sets])
         bits = _bitmaps(sets)
         right = np.flatnonzero(role == 1)
@@ -272,7 +329,7 @@ def _verify(sets, info, pairs, num, den):
     )
     done = sized.where("equal or not near").select("parent", "child", F.col("equal").alias("linked"))
     todo = sized.where("near and not equal")
-    load = todo.groupBy("parent").agg(F.ceil(F.sum("cn") / GROUP_SHINGLES).alias("slots"))
+    load = todo.groupBy("parent").agg(F.greatest(F.ceil(F.sum("cn") / GROUP_SHINGLES), F.ceil(F.count("*") / GROUP_DOCUMENTS)).alias("slots"))
     todo = settle(
         todo.join(load, "parent").select("parent", "child", F.pmod(F.xxhash64("child"), F.greatest("slots", F.lit(1))).alias("slot")), "jaccard-todo"
     )
@@ -319,6 +376,116 @@ def _within_clusters(edges, sets, sizes, found, num, den):
     return filled.groupBy(*key).applyInArrow(_compared(num, den), "parent bigint, child bigint")
 
 
+def _counted(num, den):
+    """i, j, shared: the keys that two documents of different components and near sizes share, over the keys of a group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key, ids, comps, low, high = (table.column(c).to_numpy() for c in ("key", "doc_id", "c", "low", "high"))
+        order = np.lexsort((ids, key))
+        key, ids, comps, low, high = key[order], ids[order], comps[order], low[order], high[order]
+        one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        # the step-th next row of each row, as long as any row has one of the same key
+        for step in range(1, COUNTED_DOCUMENTS):
+            same = key[step:] == key[:-step]
+            if not same.any():
+                break
+            near = (high[step:] * den >= low[:-step] * num) & (high[:-step] * den >= low[step:] * num)
+            at = np.flatnonzero(same & near & (comps[step:] != comps[:-step]))
+            one.append(ids[at])
+            two.append(ids[at + step])
+        one, two = np.concatenate(one), np.concatenate(two)
+        order = np.lexsort((two, one))
+        one, two = one[order], two[order]
+        first = np.ones(len(one), bool)
+        first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        shared = np.diff(np.append(np.flatnonzero(first), len(one)))
+        return pa.table({"i": one[first], "j": two[first], "shared": shared.astype(np.int64)})
+
+    return run
+
+
+def _open(members, found):
+    """key, doc_id, c, documents of the keys whose documents are in several components."""
+    rows = _labelled(members, found)
+    sizes = rows.groupBy("key").agg(F.count("*").alias("documents"), F.min("c").alias("low"), F.max("c").alias("high"))
+    return rows.join(sizes.where("low <> high").drop("low", "high"), "key")
+
+
+def _more_links(links, sets, named, pairs, num, den):
+    """The links with those of the pairs that hold, and their components."""
+    more = _verify(sets, named, pairs, num, den).where("linked").select("parent", "child")
+    links = settle(links.unionByName(more), "jaccard-links")
+    return links, settle(components(links), "jaccard-found")
+
+
+def _rounds(links, found, sets, named, pairs, num, den):
+    """The links with those of the pairs that matter, and the components.
+
+    In a round each document is verified with the one of another component that it shares most keys with; pairs whose ends
+    have met need no verification. So two large groups that link are joined by some pairs, not by all.
+    """
+    for step in range(ROUNDS + 1):
+        ends = _labelled(_labelled(pairs.withColumn("doc_id", F.col("parent")), found).withColumnRenamed("c", "pc").withColumn("doc_id", F.col("child")), found)
+        pairs = settle(ends.where("pc <> c").select("parent", "child", "shared"), "jaccard-apart")
+        if pairs.isEmpty():
+            break
+        chosen = pairs
+        if step < ROUNDS:
+            both = pairs.select("parent", "child", "shared", F.explode(F.array("parent", "child")).alias("doc_id"))
+            best = both.groupBy("doc_id").agg(F.max(F.struct("shared", "parent", "child")).alias("best"))
+            chosen = settle(best.select("best.parent", "best.child").distinct(), "jaccard-chosen")
+        links, found = _more_links(links, sets, named, chosen, num, den)
+        if step < ROUNDS:
+            pairs = pairs.join(chosen, ["parent", "child"], "left_anti")
+    return links, found
+
+
+def _across_keys(members, named, found, num, den):
+    """(pairs, edges): pairs (parent, child, shared) of different components that share as many keys as a link needs, and edges
+    (parent, child) between the documents that very large keys alone may link.
+
+    Parts that differ are at most D = (n + m)(den - num) / (num + den), so of K parts K - D are equal, and not empty but
+    for those that both documents lack. All keys that two documents of different components share are open keys.
+    """
+    held = settle(_open(members, found), "jaccard-open-keys")
+    large = held.where(F.col("documents") > COUNTED_DOCUMENTS)
+    loads = large.groupBy("doc_id").agg(F.count("*").alias("large"))
+    shapes = named.select("doc_id", "n", *[F.col("shape")[k].alias(c) for k, c in enumerate(SHAPE)]).where("own_parts > 0 or before_parts > 0")
+    shapes = shapes.join(held.select("doc_id").distinct(), "doc_id", "left_semi").join(loads, "doc_id", "left").fillna(0, ["large"])
+    shapes = settle(shapes, "jaccard-shapes")
+    counted = held.where(F.col("documents") <= COUNTED_DOCUMENTS)
+    groups = 1 + counted.count() // COUNTED_ROWS
+    # rows that repeat an id have sets of their own
+    size = shapes.groupBy("doc_id").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    counted = counted.join(size, "doc_id").select("key", "doc_id", "c", "low", "high", F.pmod("key", F.lit(groups)).alias("group"))
+    shared = counted.groupBy("group").applyInArrow(_counted(num, den), "i bigint, j bigint, shared bigint").groupBy("i", "j").agg(F.sum("shared").alias("shared"))
+    one = shapes.select(*[F.col(c).alias(f"i_{c}") for c in shapes.columns])
+    two = shapes.select(*[F.col(c).alias(f"j_{c}") for c in shapes.columns])
+    both = shared.join(one, F.col("i") == F.col("i_doc_id")).join(two, F.col("j") == F.col("j_doc_id"))
+    differ = F.floor((F.col("i_n") + F.col("j_n")) * (den - num) / (num + den))
+
+    def need(a, b):
+        """Parts that a and b have in common if they link, in the tile of a's band."""
+        held_b = F.when(F.col(f"{b}_band") == F.col(f"{a}_band"), F.col(f"{b}_own_held")).otherwise(F.col(f"{b}_before_held"))
+        return F.greatest(F.col(f"{a}_own_held"), held_b) - differ
+
+    least = F.when(F.col("i_band") <= F.col("j_band"), need("i", "j")).otherwise(need("j", "i")) - F.least("i_large", "j_large")
+    near = F.least("i_n", "j_n") * den >= F.greatest("i_n", "j_n") * num
+    pairs = both.where(near & (F.col("shared") >= least)).groupBy(F.col("i").alias("parent"), F.col("j").alias("child")).agg(F.max("shared").alias("shared"))
+    # the most that a partner within the threshold may differ by
+    most = F.floor(F.col("n") * (den - num) / num)
+    free = [(F.col(f"{t}_parts") > 0) & (F.col(f"{t}_held") - most - F.col("large") < 1) for t in ("own", "before")]
+    made = shapes.where((F.col("large") > 0) & (free[0] | free[1])).select("doc_id").distinct()
+    heavy = large.join(made, "doc_id", "left_semi").select("key", "doc_id")
+    first = heavy.groupBy("key").agg(F.min("doc_id").alias("parent"))
+    stars = settle(heavy.join(first, "key").where("doc_id <> parent").select("parent", F.col("doc_id").alias("child")).distinct(), "jaccard-stars")
+    # a document in many stars holds to the smallest, which holds to the others: the same clusters by far fewer edges
+    least = stars.groupBy("child").agg(F.min("parent").alias("top"))
+    tied = stars.join(least, "child").where("parent <> top").select(F.col("top").alias("parent"), F.col("parent").alias("child")).distinct()
+    edges = least.select(F.col("top").alias("parent"), "child").unionByName(tied)
+    return settle(pairs, "jaccard-counted"), settle(edges.distinct(), "jaccard-heavy")
+
+
 def components(links: DataFrame) -> DataFrame:
     """doc_id, component_id of every end of ``links`` (parent, child): the smallest id that links lead to.
 
@@ -348,36 +515,40 @@ def join(documents: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # about one key per four words at 0.9, and one per two at 0.8
     buckets = max(64, int(total / 6 * (den - num) / num * 3 / BUCKET_KEYS))
-    scanned = settle(rows.mapInArrow(_scan(size, num, den, buckets), SCAN), "jaccard-scan")
-    info = scanned.where("kind = 0").select("doc_id", "n", "a", "b")
-    across = scanned.where("kind = 1").select("bucket", "keys", "ids").groupBy("bucket").applyInArrow(_bucket_edges, "key bigint, parent bigint, child bigint")
-    within = scanned.where("kind = 2").select(F.col("a").alias("key"), F.col("n").alias("parent"), F.col("doc_id").alias("child"))
+    # keys meet in buckets; the facts and edges of each slice travel with them, so the keys are never written as a table
+    scanned = rows.mapInArrow(_scan(size, num, den, buckets), SCAN).groupBy("bucket").applyInArrow(_bucket_edges, FOUND)
+    scanned = settle(scanned, "jaccard-scan")
+    info = scanned.where("kind = 0").select("doc_id", "n", "a", "b", "shape")
+    edges = scanned.where("kind = 2").select(F.col("a").alias("key"), F.col("n").alias("parent"), F.col("doc_id").alias("child"))
     named = info.where("doc_id is not null and n > 0")
     # equal sets are one class: a star around its smallest id, without a look at the texts
     least = named.groupBy("n", "a", "b").agg(F.min("doc_id").alias("parent"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     copies = named.join(settle(least, "jaccard-classes"), ["n", "a", "b"]).where("doc_id <> parent").select("parent", F.col("doc_id").alias("child"))
-    edges = settle(across.unionByName(within), "jaccard-edges")
     ends = edges.select(F.col("parent").alias("doc_id")).union(edges.select("child")).distinct()
     sets = settle(rows.join(ends, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id bigint, shingles binary"), "jaccard-sets")
-    tested = _verify(sets, named, edges.select("parent", "child").distinct(), num, den)
+    # first each document with the one it shares most keys with
+    shared = edges.groupBy("parent", "child").agg(F.count("*").alias("shared"))
+    best = shared.groupBy("child").agg(F.max(F.struct("shared", (-F.col("parent")).alias("minus"))).alias("best"))
+    best = settle(best.select((-F.col("best.minus")).alias("parent"), "child"), "jaccard-best")
+    tested = _verify(sets, named, best, num, den)
     links = settle(copies.distinct().unionByName(tested.where("linked").select("parent", "child")), "jaccard-links")
     found = settle(components(links), "jaccard-found")
-    failed = tested.where("not linked").select("parent", "child")
-    if not failed.isEmpty():
-        keys = edges.join(failed, ["parent", "child"], "left_semi").select("key").distinct()
-        open_edges = settle(edges.join(keys, "key", "left_semi"), "jaccard-open")
-        members = settle(open_edges.select("key", F.col("parent").alias("doc_id")).union(open_edges.select("key", "child")).distinct(), "jaccard-members")
-        # the best connected document of a key, such as the text that the others were made from
-        degree = members.groupBy("doc_id").agg(F.count("*").alias("degree"))
-        placed = _labelled(members.join(degree, "doc_id"), found)
-        hubs = placed.groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("minus"), "doc_id", "c")).alias("hub"))
-        again = placed.join(settle(hubs, "jaccard-hubs"), "key").where(F.col("c") != F.col("hub.c"))
-        again = again.select(F.col("hub.doc_id").alias("parent"), F.col("doc_id").alias("child")).distinct()
-        more = _verify(sets, named, settle(again, "jaccard-again"), num, den).where("linked").select("parent", "child")
-        links = settle(links.unionByName(more), "jaccard-links")
-        found = settle(components(links), "jaccard-found")
+    # keys whose documents are in several components are open
+    members = settle(edges.select("key", F.col("parent").alias("doc_id")).union(edges.select("key", "child")).distinct(), "jaccard-members")
+    large = _open(members, found).where(F.col("documents") > COUNTED_DOCUMENTS)
+    # the best connected document of a large key, such as the text that the others were made from
+    degree = large.groupBy("doc_id").agg(F.count("*").alias("degree"))
+    placed = settle(large.join(degree, "doc_id"), "jaccard-large")
+    hubs = placed.groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("minus"), "doc_id", "c")).alias("hub"))
+    again = placed.join(settle(hubs, "jaccard-hubs"), "key").where(F.col("c") != F.col("hub.c"))
+    again = settle(again.select(F.col("hub.doc_id").alias("parent"), F.col("doc_id").alias("child")).distinct(), "jaccard-again")
+    if not again.isEmpty():
+        links, found = _more_links(links, sets, named, again, num, den)
+    pairs, heavy = _across_keys(members, named, found, num, den)
+    links, found = _rounds(links, found, sets, named, pairs, num, den)
+    if not heavy.isEmpty():
         sizes = named.select("doc_id", "n").distinct()
-        last = settle(_within_clusters(open_edges, sets, sizes, found, num, den), "jaccard-last")
+        last = settle(_within_clusters(heavy, sets, sizes, found, num, den), "jaccard-last")
         if not last.isEmpty():
             found = components(links.unionByName(last))
     known = settle(found, "jaccard-components").withColumnRenamed("doc_id", "__id")

@@ -93,6 +93,12 @@ def test_repeats_odd_rows(table, odd_rows):
     assert substrings.remove_repeats(table([])).count() == 0
 
 
+def test_no_table_is_left_in_the_catalog(spark, table, odd_rows):
+    before = {t.name for t in spark.catalog.listTables()}
+    found = substrings.remove_repeats(table(odd_rows), 13)
+    assert {t.name for t in spark.catalog.listTables()} == before and found.count() == len(odd_rows)
+
+
 def test_levels():
     assert substrings.levels(13) == [7, 13] and substrings.levels(50) == [7, 13, 25, 50] and substrings.levels(4) == [4]
 
@@ -167,6 +173,58 @@ def test_jaccard_components(table, monkeypatch, size, num, seed, block):
     assert all(got[i]["n_shingles"] == len(brute.shingles(t, size)) for i, t in rows)
 
 
+def passages(seed):
+    """Texts put together from a few passages: nearly all share keys with others, few are near copies."""
+    rng = random.Random(seed)
+    pool = [" ".join(f"p{k}-{rng.randint(0, 30)}" for _ in range(40)) for k in range(12)]
+    rows = []
+    for i in range(90):
+        text = " ".join([*rng.sample(pool, rng.randint(2, 4)), *(f"own{rng.randint(0, 10**6)}" for _ in range(rng.choice([3, 30, 60])))])
+        rows.append(text)
+        if rng.random() < 0.4:
+            w = text.split()
+            for _ in range(rng.randint(1, 6)):
+                w[rng.randrange(len(w))] = "changed"
+            rows.append(" ".join(w))
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    return [(order[i], t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("counted, seed", [(64, 1), (4, 2), (1, 3)])
+def test_jaccard_of_texts_that_share_passages(table, monkeypatch, counted, seed):
+    """One large component of open keys; with few counted documents a key, the tiles have to find the rest."""
+    monkeypatch.setattr(ngram_join, "COUNTED_DOCUMENTS", counted)
+    monkeypatch.setattr(ngram_join, "COUNTED_ROWS", 500)
+    seen = []
+    across = ngram_join._across_keys
+    monkeypatch.setattr(ngram_join, "_across_keys", lambda *a: seen.append(across(*a)) or seen[0])
+    rows = passages(seed)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.join(table(rows), 5, 80, 100).collect()}
+    want = brute.linked_components(rows, 5, 80, 100)
+    assert got == want and len(set(want.values())) < len(rows)
+    pairs, heavy = seen[0]
+    assert (heavy.count() > 0) == (counted < 64) and pairs.count() < 5 * len(rows)
+
+
+@pytest.mark.parametrize("num", [50, 80, 90])
+def test_linked_sets_share_as_many_keys_as_they_need(num):
+    rng = np.random.default_rng(num + 1)
+    tiles = ngram_join.Tiles(num, 100)
+    for _ in range(200):
+        common = rng.integers(0, 1 << 63, rng.integers(20, 400), np.uint64)
+        spare = int(len(common) * (100 - num) / num)
+        left = int(rng.integers(0, spare + 1))
+        a = np.unique(np.concatenate((common, rng.integers(0, 1 << 63, left, np.uint64))))
+        b = np.unique(np.concatenate((common, rng.integers(0, 1 << 63, spare - left, np.uint64))))
+        sizes = np.array([len(a), len(b)])
+        keys, owner, shape = ngram_join.shaped_keys(np.repeat([0, 1], sizes), np.concatenate((a, b)), sizes, tiles, {})
+        shared = len(np.intersect1d(keys[owner == 0], keys[owner == 1]))
+        low, high = (0, 1) if shape[0, 0] <= shape[0, 1] else (1, 0)
+        held = shape[2, high] if shape[0, 0] == shape[0, 1] else shape[4, high]
+        assert shared >= max(shape[2, low], held) - (len(a) + len(b)) * (100 - num) // (100 + num)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 51), (51, 50), (52, 51)], "parent bigint, child bigint")
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.components(links).collect()}
