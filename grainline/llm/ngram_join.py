@@ -13,7 +13,9 @@ document is verified with the leader it shares most keys with: bit counts of has
 then sorted arrays are intersected. Keys whose documents are then in different components are open: large ones are tried
 again around their best connected document, and what is still apart is compared key by key. A linked pair has not one but many parts in common; how many follows from its sizes and
 empty parts. So the keys that two documents share are counted, and only pairs with enough are verified. Keys of very many
-documents are not counted: as many as a document has of them are taken off what it needs. Only documents that then need
+documents are not counted: as many as a document has of them are taken off what it needs. A sketch
+of 1024 parities per document, in which two documents differ at most as often as in shingles, drops pairs that are not
+linked before their sets are looked at. Only documents that then need
 none, which are made of such keys, are compared tile by tile within their clusters: a tile holds a bounded number of
 shingles, and only links leave it, not pairs.
 """
@@ -31,6 +33,8 @@ from grainline.llm.batches import planes, unplanes
 from grainline.llm.common import settle, whole
 
 BITS = 4096
+# Parities of a sketch: 2 to this power.
+PARITIES = 10
 SEEDS = 4
 # Keys of a block of documents that are combined before the shuffle, and keys per shuffled bucket.
 BLOCK_KEYS = 1_000_000
@@ -264,14 +268,29 @@ def unpacked_set(data: bytes) -> np.ndarray:
     return np.cumsum(steps.reshape(-1).view(np.uint64), dtype=np.uint64) << np.uint64(16)
 
 
+def parities(doc: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
+    """Per document, as 64-bit words, whether an odd number of its hashes begins with each run of PARITIES bits.
+
+    A shingle that only one of two documents has changes one parity, so they have at most as many different ones as shingles.
+    """
+    place = (doc.astype(np.int64) << PARITIES) | (values >> np.uint64(64 - PARITIES)).astype(np.int64)
+    odd = np.bincount(place, minlength=count << PARITIES).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(count, -1), axis=1).view(np.int64)
+
+
+SETS = "doc_id bigint, n bigint, shingles binary, parities array<bigint>"
+
+
 def _sets(size):
     def run(batches):
         for batch in batches:
             for part in tokens.slices(batch):
-                _, values, sizes = shingle_sets(part.column("text"), size)
+                doc, values, sizes = shingle_sets(part.column("text"), size)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
                 arrays = [packed_set(values[i:j]) for i, j in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(arrays, "binary")], ["doc_id", "shingles"])
+                odd = pa.array(list(parities(doc, values, len(sizes))), pa.list_(pa.int64()))
+                columns = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(arrays, "binary"), odd]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "shingles", "parities"])
 
     return run
 
@@ -411,22 +430,36 @@ def _open(members, found):
     return rows.join(sizes.where("low <> high").drop("low", "high"), "key")
 
 
-def _more_links(links, sets, named, pairs, num, den):
-    """The links with those of the pairs that hold, and their components."""
+def _ends(pairs, found):
+    """The pairs with the components ``pc`` and ``c`` of their ends."""
+    parents = _labelled(pairs.withColumn("doc_id", F.col("parent")), found).withColumnRenamed("c", "pc")
+    return _labelled(parents.withColumn("doc_id", F.col("child")), found).drop("doc_id")
+
+
+def extended(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``found`` (doc_id, component_id) with more links (parent, child): only what these join is looked at anew."""
+    ends = settle(_ends(links, found), "component-ends")
+    joined = components(ends.where("pc <> c").select(F.col("pc").alias("parent"), F.col("c").alias("child")).distinct())
+    both = ends.select(F.col("parent").alias("doc_id"), F.col("pc").alias("component_id")).union(ends.select("child", "c"))
+    rows = found.select("doc_id", "component_id").union(both).distinct()
+    joined = joined.select(F.col("doc_id").alias("component_id"), F.col("component_id").alias("joined"))
+    return rows.join(joined, "component_id", "left").select("doc_id", F.coalesce("joined", "component_id").alias("component_id"))
+
+
+def _more_links(found, sets, named, pairs, num, den):
+    """The components with those of the pairs that are linked."""
     more = _verify(sets, named, pairs, num, den).where("linked").select("parent", "child")
-    links = settle(links.unionByName(more), "jaccard-links")
-    return links, settle(components(links), "jaccard-found")
+    return settle(extended(found, more), "jaccard-found")
 
 
-def _rounds(links, found, sets, named, pairs, num, den):
-    """The links with those of the pairs that matter, and the components.
+def _rounds(found, sets, named, pairs, num, den):
+    """The components with those of the pairs that matter.
 
     In a round each document is verified with the one of another component that it shares most keys with; pairs whose ends
     have met need no verification. So two large groups that link are joined by some pairs, not by all.
     """
     for step in range(ROUNDS + 1):
-        ends = _labelled(_labelled(pairs.withColumn("doc_id", F.col("parent")), found).withColumnRenamed("c", "pc").withColumn("doc_id", F.col("child")), found)
-        pairs = settle(ends.where("pc <> c").select("parent", "child", "shared"), "jaccard-apart")
+        pairs = settle(_ends(pairs, found).where("pc <> c").select("parent", "child", "shared"), "jaccard-apart")
         if pairs.isEmpty():
             break
         chosen = pairs
@@ -434,25 +467,27 @@ def _rounds(links, found, sets, named, pairs, num, den):
             both = pairs.select("parent", "child", "shared", F.explode(F.array("parent", "child")).alias("doc_id"))
             best = both.groupBy("doc_id").agg(F.max(F.struct("shared", "parent", "child")).alias("best"))
             chosen = settle(best.select("best.parent", "best.child").distinct(), "jaccard-chosen")
-        links, found = _more_links(links, sets, named, chosen, num, den)
+        found = _more_links(found, sets, named, chosen, num, den)
         if step < ROUNDS:
             pairs = pairs.join(chosen, ["parent", "child"], "left_anti")
-    return links, found
+    return found
 
 
-def _across_keys(members, named, found, num, den):
+def _across_keys(members, named, sketches, found, num, den):
     """(pairs, edges): pairs (parent, child, shared) of different components that share as many keys as a link needs, and edges
     (parent, child) between the documents that very large keys alone may link.
 
     Parts that differ are at most D = (n + m)(den - num) / (num + den), so of K parts K - D are equal, and not empty but
     for those that both documents lack. All keys that two documents of different components share are open keys.
+    ``sketches`` (doc_id, n, parities) of two linked documents differ in at most D parities.
     """
     held = settle(_open(members, found), "jaccard-open-keys")
     large = held.where(F.col("documents") > COUNTED_DOCUMENTS)
     loads = large.groupBy("doc_id").agg(F.count("*").alias("large"))
     shapes = named.select("doc_id", "n", *[F.col("shape")[k].alias(c) for k, c in enumerate(SHAPE)]).where("own_parts > 0 or before_parts > 0")
     shapes = shapes.join(held.select("doc_id").distinct(), "doc_id", "left_semi").join(loads, "doc_id", "left").fillna(0, ["large"])
-    shapes = settle(shapes, "jaccard-shapes")
+    # rows that repeat an id and a size get each sketch of these: a pair is then looked at if any of them may link
+    shapes = settle(shapes.distinct().join(sketches.distinct(), ["doc_id", "n"]), "jaccard-shapes")
     counted = held.where(F.col("documents") <= COUNTED_DOCUMENTS)
     groups = 1 + counted.count() // COUNTED_ROWS
     # rows that repeat an id have sets of their own
@@ -471,7 +506,9 @@ def _across_keys(members, named, found, num, den):
 
     least = F.when(F.col("i_band") <= F.col("j_band"), need("i", "j")).otherwise(need("j", "i")) - F.least("i_large", "j_large")
     near = F.least("i_n", "j_n") * den >= F.greatest("i_n", "j_n") * num
-    pairs = both.where(near & (F.col("shared") >= least)).groupBy(F.col("i").alias("parent"), F.col("j").alias("child")).agg(F.max("shared").alias("shared"))
+    odd = F.zip_with("i_parities", "j_parities", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    alike = F.aggregate(odd, F.lit(0), lambda x, y: x + y) <= differ
+    pairs = both.where(near & (F.col("shared") >= least)).where(alike).groupBy(F.col("i").alias("parent"), F.col("j").alias("child")).agg(F.max("shared").alias("shared"))
     # the most that a partner within the threshold may differ by
     most = F.floor(F.col("n") * (den - num) / num)
     free = [(F.col(f"{t}_parts") > 0) & (F.col(f"{t}_held") - most - F.col("large") < 1) for t in ("own", "before")]
@@ -525,13 +562,14 @@ def join(documents: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     least = named.groupBy("n", "a", "b").agg(F.min("doc_id").alias("parent"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     copies = named.join(settle(least, "jaccard-classes"), ["n", "a", "b"]).where("doc_id <> parent").select("parent", F.col("doc_id").alias("child"))
     ends = edges.select(F.col("parent").alias("doc_id")).union(edges.select("child")).distinct()
-    sets = settle(rows.join(ends, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id bigint, shingles binary"), "jaccard-sets")
+    sets = settle(rows.join(ends, "doc_id", "left_semi").mapInArrow(_sets(size), SETS), "jaccard-sets")
+    sketches, sets = sets.select("doc_id", "n", "parities"), sets.select("doc_id", "shingles")
     # first each document with the one it shares most keys with
     shared = edges.groupBy("parent", "child").agg(F.count("*").alias("shared"))
     best = shared.groupBy("child").agg(F.max(F.struct("shared", (-F.col("parent")).alias("minus"))).alias("best"))
     best = settle(best.select((-F.col("best.minus")).alias("parent"), "child"), "jaccard-best")
     tested = _verify(sets, named, best, num, den)
-    links = settle(copies.distinct().unionByName(tested.where("linked").select("parent", "child")), "jaccard-links")
+    links = copies.distinct().unionByName(tested.where("linked").select("parent", "child"))
     found = settle(components(links), "jaccard-found")
     # keys whose documents are in several components are open
     members = settle(edges.select("key", F.col("parent").alias("doc_id")).union(edges.select("key", "child")).distinct(), "jaccard-members")
@@ -543,14 +581,14 @@ def join(documents: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     again = placed.join(settle(hubs, "jaccard-hubs"), "key").where(F.col("c") != F.col("hub.c"))
     again = settle(again.select(F.col("hub.doc_id").alias("parent"), F.col("doc_id").alias("child")).distinct(), "jaccard-again")
     if not again.isEmpty():
-        links, found = _more_links(links, sets, named, again, num, den)
-    pairs, heavy = _across_keys(members, named, found, num, den)
-    links, found = _rounds(links, found, sets, named, pairs, num, den)
+        found = _more_links(found, sets, named, again, num, den)
+    pairs, heavy = _across_keys(members, named, sketches, found, num, den)
+    found = _rounds(found, sets, named, pairs, num, den)
     if not heavy.isEmpty():
         sizes = named.select("doc_id", "n").distinct()
         last = settle(_within_clusters(heavy, sets, sizes, found, num, den), "jaccard-last")
         if not last.isEmpty():
-            found = components(links.unionByName(last))
+            found = extended(found, last)
     known = settle(found, "jaccard-components").withColumnRenamed("doc_id", "__id")
     return (
         info.join(known, info["doc_id"] == known["__id"], "left")
