@@ -191,12 +191,16 @@ def role_join(fact: DataFrame, dimension: DataFrame, key: str, roles: dict[str,
 
 
 def header_rollup(lines: DataFrame, header: str, distinct: dict[str, str], sums: dict[str, str]) -> DataFrame:
-    """Per header: line count, distinct values of some columns, sums of others. Lines without a header are left out."""
-    return lines.where(F.col(header).isNotNull()).groupBy(header).agg(
-        F.count(F.lit(1)).alias("line_count"),
-        *[F.countDistinct(c).alias(n) for n, c in distinct.items()],
-        *[F.sum(c).alias(n) for n, c in sums.items()],
-    )
+    """Per header: line count, distinct values of some columns, sums of others. Lines without a header are left out.
+
+    Distinct values are counted one column at a time, by header and value first, and joined by header: no line is
+    expanded once per column, and the lines of one header are shared by many tasks.
+    """
+    found = lines.where(F.col(header).isNotNull())
+    out = found.groupBy(header).agg(F.count(F.lit(1)).alias("line_count"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    for n, c in distinct.items():
+        out = out.join(found.groupBy(header).agg(F.countDistinct(c).alias(n)), header)
+    return out.select(header, "line_count", *distinct, *sums)
 
 
 def inconsistent_headers(lines: DataFrame, header: str, columns: list[str]) -> DataFrame:

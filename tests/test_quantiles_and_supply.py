@@ -136,3 +136,11 @@ def test_exact_describe_keeps_whole_numbers_and_decimals(spark):
     with pytest.raises(TypeError):
         describe(df.withColumn("c", F.lit(1.5)), ["a", "c"], exact=True)
     assert describe(df.limit(0), ["a"], exact=True).first()["count"] == 0
+
+
+def test_header_rollup_expands_no_line(spark):
+    lines = spark.createDataFrame([("a", 1, None, 2), ("a", 1, None, 3), ("a", 2, None, None), ("b", None, "x", 1), (None, 1, "x", 1)], "h string, p int, s string, q int")
+    got = supply.header_rollup(lines, "h", {"products": "p", "sources": "s"}, {"total": "q"})
+    assert got.columns == ["h", "line_count", "products", "sources", "total"]
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 3, 2, 0, 5), ("b", 1, 0, 1, 1)]
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
