@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from grainline.operators.keys import any_null
 from grainline.operators.scans import in_ranges, running
+from grainline.session import settle
 
 _END = (1 << 63) - 1
+# Links of a task that spreads units.
+TASK_LINKS = 250_000
 
 
 def _intervals(rows: DataFrame, keys: list[str], order: list[str], name: str, units: str, ranges: int | None) -> DataFrame:
@@ -67,7 +70,10 @@ def spread(units: DataFrame, links: DataFrame, source: list[str], target: list[s
     floor(units * w / total) less what the ones before it got: the shares of a source add up to its units exactly.
     Links without source, target or positive weight are left out; sources without links have no row.
     """
-    pairs = links.where((F.col(weight) > 0) & ~any_null([*source, *target])).groupBy(*source, *target).agg(F.sum(weight).cast("bigint").alias("_w"))
+    kept = links.where((F.col(weight) > 0) & ~any_null([*source, *target]))
+    # a task gets about so many links, however many there are; those of other sources are not summed
+    kept = kept.repartition(1 + links.count() // TASK_LINKS, *source).join(units.select(*source), source, "left_semi")
+    pairs = kept.groupBy(*source, *target).agg(F.sum(weight).cast("bigint").alias("_w"))
     pairs = pairs.join(units.select(*source, F.col("units").alias("_units")), source)
     upto = running(in_ranges(pairs, source, target, ranges), source, target, sums={"_upto": "_w"})
     totals = upto.groupBy(*source).agg(F.sum("_w").alias("_total"))
@@ -93,8 +99,9 @@ def recall_units(start: DataFrame, steps: list[tuple], ranges: int | None = None
         back, on = many(towards), many(onwards)
         source, target = [f"_from{k}" for k in range(len(back))], [f"_to{k}" for k in range(len(on))]
         renamed = link.select(*[F.col(c).alias(n) for c, n in zip(back, source)], *[F.col(c).alias(n) for c, n in zip(on, target)], F.col(weight).alias("_weight"))
-        moved = spread(here.toDF(*source, "units"), renamed, source, target, "_weight", ranges)
-        linked = renamed.where((F.col("_weight") > 0) & ~any_null([*source, *target])).select(*source).distinct().withColumn("_linked", F.lit(True))
+        moved = settle(spread(here.toDF(*source, "units"), renamed, source, target, "_weight", ranges), "moved")
+        # each source with a link has moved, if only 0 units
+        linked = moved.select(*source).distinct().withColumn("_linked", F.lit(True))
         stays = F.when(F.col("_linked").isNull(), F.col("units")).otherwise(F.lit(0))
         rows = here.toDF(*source, "units").join(linked, source, "left").select(F.lit(level).alias("level"), text(source), "units", stays.cast("bigint").alias("stopped"))
         found = rows if found is None else found.unionByName(rows)

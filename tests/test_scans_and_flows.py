@@ -156,3 +156,14 @@ def test_steps_and_illegal_steps(spark):
     counts = {(x.previous_s, x.s): (x.step_count, x.legal) for x in sequences.transition_counts(stepped, allowed, "s").collect()}
     assert counts == {(None, "a"): (1, True), ("a", "b"): (1, True), ("b", "a"): (1, False), (None, "b"): (1, False), ("b", "b"): (1, False)}
     assert one(stepped.agg(F.count("*").alias("n")))["n"] == 5
+
+
+def test_spread_tasks_get_a_bounded_number_of_links(spark, monkeypatch):
+    monkeypatch.setattr(flows, "TASK_LINKS", 10)
+    units = spark.createDataFrame([(k, 100 + k) for k in range(8)], "a int, units int")
+    links = spark.createDataFrame([(k % 12, k, 1 + k % 3) for k in range(120)] + [(None, 1, 1), (1, None, 1)], "a int, b int, w int")
+    parts, in_ranges = [], flows.in_ranges
+    monkeypatch.setattr(flows, "in_ranges", lambda df, *a: parts.append(df.rdd.getNumPartitions()) or in_ranges(df, *a))
+    got = flows.spread(units, links, ["a"], ["b"], "w").groupBy("a").agg(F.sum("units"), F.count("*"))
+    assert sorted(tuple(r) for r in got.collect()) == [(k, 100 + k, 10) for k in range(8)]
+    assert parts == [13]
