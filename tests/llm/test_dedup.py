@@ -229,12 +229,12 @@ def test_parities_differ_at_most_as_often_as_sets():
     rng = np.random.default_rng(5)
     for n, changed in ((1, 1), (50, 4), (300, 60), (3000, 700)):
         a = np.unique(rng.integers(0, 1 << 63, n, np.uint64) << np.uint64(1))
-        b = np.unique(np.concatenate((a[changed:], rng.integers(0, 1 << 63, changed, np.uint64) << np.uint64(1))))
+        b = np.unique(np.concatenate((rng.permutation(a)[changed:], rng.integers(0, 1 << 63, changed, np.uint64) << np.uint64(1))))
         sizes = [len(a), 0, len(b)]
         words = ngram_join.parities(np.repeat([0, 1, 2], sizes), np.concatenate((a, b)), 3)
         differ = int(np.bitwise_count((words[0] ^ words[2]).view(np.uint64)).sum())
         assert words.shape == (3, 16) and not words[1].any()
-        assert len(np.setxor1d(a, b)) * 0.4 < differ <= len(np.setxor1d(a, b))
+        assert len(np.setxor1d(a, b)) * 0.3 < differ <= len(np.setxor1d(a, b))
 
 
 def test_texts_that_are_near_but_not_linked_are_not_verified_pair_by_pair(table, monkeypatch):
