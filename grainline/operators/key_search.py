@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainline.operators.keys import any_null, duplicate_keys
+from grainline.session import settle
 
 # Sketches of one scan.
 SETS_PER_SCAN = 64
 LG_K = 14
 # Four standard errors of a sketch: a set that is a key falls short of this by chance once in 30,000.
 SLACK = 4 * 1.04 / 2 ** (LG_K / 2)
+# A set is looked through in one of so many slices first: a repeated value there tells that it is no key.
+SLICES = 64
 
 
 def _distinct(df: DataFrame, sets: list[tuple[str, ...]]) -> list[float]:
@@ -26,12 +29,26 @@ def _distinct(df: DataFrame, sets: list[tuple[str, ...]]) -> list[float]:
     return found
 
 
+def _unique(rows: DataFrame, columns: list[str]) -> bool:
+    """Whether no two rows share the columns, which have no NULL. Only rows with equal hashes may, and only these are compared."""
+    hashed = rows.withColumn("_hash", F.xxhash64(*columns))
+    twice = settle(duplicate_keys(hashed.select("_hash"), ["_hash"]).select("_hash"), "hashes")
+    return twice.isEmpty() or duplicate_keys(hashed.join(twice, "_hash", "left_semi"), columns).isEmpty()
+
+
+def _confirmed(df: DataFrame, columns: list[str]) -> bool:
+    """Whether no two rows share the columns: a slice of their hashes first, then all other rows."""
+    rows, slice_ = df.select(*columns), F.pmod(F.xxhash64(*columns), F.lit(SLICES))
+    return _unique(rows.where(slice_ == 0), columns) and _unique(rows.where(slice_ != 0), columns)
+
+
 def minimal_keys(df: DataFrame, columns: list[str], most: int = 3) -> DataFrame:
     """(key_columns, size): every set of at most ``most`` columns that is a key while no part of it is.
 
     A key has no NULL and no value twice. Sets are searched by size: what holds a key already is left out, as is what
     cannot have enough distinct rows by the estimates of its parts. Sketches, many to a scan, leave the sets that may be
-    keys, and each of these is confirmed by an exact count. An empty table has no key. Only sets of column names, bounded
+    keys, and each of these is confirmed by an exact count, which ends early at a repeated value in a slice of the rows. An
+    empty table has no key. Only sets of column names, bounded
     by the arguments, are held by the driver.
     """
     counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
@@ -49,7 +66,7 @@ def minimal_keys(df: DataFrame, columns: list[str], most: int = 3) -> DataFrame:
                 open_sets.append(s)
         found = dict(zip(open_sets, _distinct(df, open_sets)))
         estimate |= found
-        keys += [s for s, n in found.items() if n >= rows * (1 - SLACK) and duplicate_keys(df, list(s)).isEmpty()]
+        keys += [s for s, n in found.items() if n >= rows * (1 - SLACK) and _confirmed(df, list(s))]
     return df.sparkSession.createDataFrame([("+".join(k), len(k)) for k in keys], "key_columns string, size int")
 
 

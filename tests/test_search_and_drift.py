@@ -13,6 +13,7 @@ from test_curate import batch, run
 from grainline import catalog
 from grainline.operators import sketches
 from grainline.operators.drift import drift
+from grainline.operators import key_search
 from grainline.operators.key_search import is_key, minimal_keys
 from grainline.plans.curate import publication_drift
 
@@ -99,3 +100,16 @@ def test_a_halved_partition_is_named(spark, tmp_path):
     assert rows(first.select("status").distinct()) == [("NEW",)]
     with pytest.raises(ValueError):
         publication_drift(spark, target, catalog.PRODUCT_BATCHES, "never", ["manufacturer_id"])
+
+
+def test_near_keys_are_refuted_in_a_slice(spark, monkeypatch):
+    """Few rows are looked at where some values come twice; a key is looked through whole."""
+    n, seen = 20_000, []
+    df = spark.range(n).select("id", F.when(F.col("id") < n - 300, F.col("id")).otherwise(F.col("id") - 300).alias("near"), F.lit(1).alias("one"))
+    unique = key_search._unique
+    monkeypatch.setattr(key_search, "_unique", lambda rows, columns: seen.append((columns, rows.count())) or unique(rows, columns))
+    assert rows(minimal_keys(df, ["id", "near", "one"], 2)) == [("id", 1)]
+    looked = lambda c: sum(k for columns, k in seen if columns == c)
+    assert looked(["id"]) == n and 0 < looked(["near"]) < n / 10
+    one_twice = spark.range(n).union(spark.range(7777, 7778))
+    assert not key_search._confirmed(one_twice, ["id"]) and key_search._confirmed(spark.range(n), ["id"])
