@@ -16,8 +16,9 @@ empty parts. So the keys that two documents share are counted, and only pairs wi
 documents are not counted: as many as a document has of them are taken off what it needs. A sketch
 of 1024 parities per document, in which two documents differ at most as often as in shingles, drops pairs that are not
 linked before their sets are looked at. Only documents that then need
-none, which are made of such keys, are compared tile by tile within their clusters: a tile holds a bounded number of
-shingles, and only links leave it, not pairs.
+none, which have as many such keys as a link needs, are compared tile by tile within their clusters: a tile holds a bounded
+number of shingles, and only links leave it, not pairs. Clusters hang together by the rarest of these keys, of which two
+documents that link share one: a short passage that very many texts hold makes no cluster alone.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainline.llm import tokens
@@ -79,6 +80,12 @@ class Tiles:
             if low * self.num > high * self.den:
                 return found
 
+    @staticmethod
+    def differ(parts):
+        """The most shingles in which a linked pair of a tile with so many parts (a number or a column) differs."""
+        most = (parts - 1) * 6
+        return most // 7 if isinstance(parts, int) else F.floor(most / 7)
+
     def _before(self, k: int) -> tuple[int, int]:
         low = 1
         for _ in range(k - 1):
@@ -509,11 +516,14 @@ def _across_keys(members, named, sketches, found, num, den):
     odd = F.zip_with("i_parities", "j_parities", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     alike = F.aggregate(odd, F.lit(0), lambda x, y: x + y) <= differ
     pairs = both.where(near & (F.col("shared") >= least)).where(alike).groupBy(F.col("i").alias("parent"), F.col("j").alias("child")).agg(F.max("shared").alias("shared"))
-    # the most that a partner within the threshold may differ by
+    # parts in common with any partner in the tile of its own band and in the one before: from a smaller partner it differs
+    # by no more than any link of that tile
     most = F.floor(F.col("n") * (den - num) / num)
-    free = [(F.col(f"{t}_parts") > 0) & (F.col(f"{t}_held") - most - F.col("large") < 1) for t in ("own", "before")]
-    made = shapes.where((F.col("large") > 0) & (free[0] | free[1])).select("doc_id").distinct()
-    heavy = large.join(made, "doc_id", "left_semi").select("key", "doc_id")
+    common_parts = [F.when(F.col(f"{t}_parts") > 0, F.col(f"{t}_held") - d) for t, d in (("own", most), ("before", Tiles.differ(F.col("before_parts"))))]
+    made = shapes.where("large > 0").groupBy("doc_id", "large").agg(F.greatest(F.min(F.least(*common_parts)), F.lit(1)).alias("least")).where("least <= large")
+    # two documents that share as many large keys as both need share one of the rarest that each has beyond that number less one
+    rare = Window.partitionBy("doc_id").orderBy("documents", "key")
+    heavy = large.join(made, "doc_id").withColumn("rank", F.row_number().over(rare)).where("rank <= large - least + 1").select("key", "doc_id")
     first = heavy.groupBy("key").agg(F.min("doc_id").alias("parent"))
     stars = settle(heavy.join(first, "key").where("doc_id <> parent").select("parent", F.col("doc_id").alias("child")).distinct(), "jaccard-stars")
     # a document in many stars holds to the smallest, which holds to the others: the same clusters by far fewer edges

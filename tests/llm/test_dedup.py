@@ -256,6 +256,30 @@ def test_texts_that_are_near_but_not_linked_are_not_verified_pair_by_pair(table,
     assert seen[0][0].count() < len(rows)
 
 
+@pytest.mark.parametrize("num", [50, 80, 90])
+def test_parts_tell_how_much_a_link_of_their_tile_differs(num):
+    tiles = ngram_join.Tiles(num, 100)
+    assert all(ngram_join.Tiles.differ(parts) == parts - need for n in range(1, 3000) for _, parts, need in tiles.of(n))
+
+
+def test_a_common_passage_alone_is_not_compared_pair_by_pair(table, monkeypatch):
+    """A few large keys are fewer than a link needs, also for texts that are near the upper end of a tile."""
+    monkeypatch.setattr(ngram_join, "COUNTED_DOCUMENTS", 4)
+    size = next(n for n in range(140, 60, -1) if len(ngram_join.Tiles(80, 100).of(n)) == 2)
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(size * 35 // 100 + 4)]
+    rows = [(k, " ".join([*passage, *(word() for _ in range(size + 4 - len(passage)))])) for k in range(16)]
+    rows += [(100 + k, rows[k][1] + " end") for k in (0, 7)]
+    seen = []
+    across = ngram_join._across_keys
+    monkeypatch.setattr(ngram_join, "_across_keys", lambda *a: seen.append((a[0], across(*a))) or seen[0][1])
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.join(table(rows), 5, 80, 100).collect()}
+    assert got == brute.linked_components(rows, 5, 80, 100) and got[100] == 0 and got[107] == 7
+    members, (_, heavy) = seen[0]
+    assert members.groupBy("key").count().where("count > 4").count() > 0 and heavy.count() == 0
+
+
 def test_components_are_extended_by_more_links(spark):
     rng = random.Random(3)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
